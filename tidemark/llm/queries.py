@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, url_filter
+from tidemark.llm import bpe, exact_dedup, packing, quality_rules, token_counts, url_filter
 from tidemark.llm.common import documents
 
 
@@ -16,7 +18,29 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"), url_filter.rule_table(spark))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
+    "op2_bpe": op2_bpe,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_packing": op5_packing,
+    "op7_token_counts": op7_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
     "op10_url_filters": op10_url_filters,
 }
