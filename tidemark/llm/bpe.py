@@ -20,12 +20,15 @@ from tidemark.llm.common import blocks
 
 #: Words of ASCII, after lower-casing, as the vocabulary's pre-tokeniser parts them.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+#: Chunks of these characters alone are unchanged by the normaliser but for lower case; all but ASCII's are letters.
+LATIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ɏ]+")
+LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^\sa-z0-9À-ÖØ-öø-ɏ]+", re.ASCII)
 #: Chunks that are remembered between the blocks of a worker process, and chunks that go through the index at once.
-CACHE_CHUNKS, INDEX_CHUNKS = 600_000, 200_000
+CACHE_CHUNKS, INDEX_CHUNKS = 400_000, 200_000
 #: Positions of a pair from which on they are merged by array operations.
 LONG_LIST = 48
 #: Bytes of text whose distinct chunks are gathered at once.
-GATHER_BYTES = 24 << 20
+GATHER_BYTES = 16 << 20
 
 
 def byte_characters() -> list[str]:
@@ -91,6 +94,8 @@ class WordBpe:
     def _plain(self, text: str) -> list[bytes]:
         if text.isascii():
             return [w.encode() for w in ASCII_WORDS.findall(text.lower())]
+        if LATIN.fullmatch(text):
+            return [w.encode() for w in LATIN_WORDS.findall(text.lower())]
         parted = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes(self.byte_of[c] for c in piece) for piece, _ in parted]
 

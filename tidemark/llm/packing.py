@@ -133,8 +133,8 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
             if out:
                 yield batch(out)
 
-        for keys, texts in gathered(batches, 8 << 20):
-            for key, ids in zip(keys, bpe.encode(texts, bpe.learn_by_library), strict=True):
+        for keys, texts in gathered(batches):
+            for key, ids in zip(keys, bpe.encode(texts), strict=True):
                 ids += end
                 kept[number] = (key, ids)
                 waiting.append((len(ids) // 4, number, 0))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, packing, quality_rules, token_counts, url_filter
+from tidemark.llm import bpe, exact_dedup, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filter
 from tidemark.llm.common import documents
 
 
@@ -36,7 +36,21 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES = {
+    "op8_toxicity": op8_toxicity,
+    "op9_quality_classifier": op9_quality_classifier,
     "op2_bpe": op2_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
