@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from tidemark.llm import linear
 
 #: The labelled texts of each class that are used at most, the fold held out, and the features that are kept at most.
-ROWS_PER_CLASS, PARTS, FOLD, KEPT = 2000, 5, 0, 1024
+ROWS_PER_CLASS, PARTS, FOLD, KEPT = 2000, 5, 0, 4096
 #: First bytes of words that are features beside the whole words.
 PREFIXES = (4, 5, 6)
 #: Weight of the squared score change under a swap, of the squared weights, and steps of the fit.
-COUNTERFACTUAL, RIDGE, STEPS = 10.0, 1e-3, 250
+COUNTERFACTUAL, RIDGE, STEPS = 10.0, 1e-3, 500
 #: Groups of identity terms; a swap replaces each term by the next of its group.
 IDENTITY = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"),
@@ -80,32 +80,39 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[np.ndarray | None], c
     number = np.full(linear.SIZE, -1, np.int64)
     number[kept] = np.arange(len(kept))
 
-    def dense(found: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(found), len(kept)), np.float32)
-        for i, x in enumerate(found):
-            own = number[x]
-            out[i, own[own >= 0]] = 1
-        return out
+    def sparse(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+        own = [x[x >= 0] for x in (number[f] for f in found)]
+        return np.repeat(np.arange(len(own)), [len(x) for x in own]), np.concatenate([*own, np.zeros(0, np.int64)]), len(own)
+
+    def times(m, v: np.ndarray) -> np.ndarray:
+        return np.bincount(m[0], weights=v[m[1]], minlength=m[2])
+
+    def back(m, g: np.ndarray) -> np.ndarray:
+        return np.bincount(m[1], weights=g[m[0]], minlength=len(kept))
 
     have = [i for i, p in enumerate(pairs) if p is not None]
-    x = dense(rows)
-    change = dense([pairs[i] for i in have]) - x[have] if have else np.zeros((0, len(kept)), np.float32)
-    share = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum()).astype(np.float32)
+    x, before, after = sparse(rows), sparse([rows[i] for i in have]), sparse([pairs[i] for i in have])
+    share = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+    weight = 2 * counterfactual / max(1, len(have))
+
+    def penalty(v: np.ndarray) -> np.ndarray:
+        """The gradient of the squared margin changes at v."""
+        change = times(after, v) - times(before, v)
+        return weight * (back(after, change) - back(before, change))
+
     # a bound on the curvature, for the step size: the largest eigenvalue, by power iteration
-    v = np.ones(len(kept), np.float32)
+    v = np.ones(len(kept))
     for _ in range(20):
-        v = 0.25 * x.T @ (share * (x @ v)) + (2 * counterfactual / max(1, len(have))) * (change.T @ (change @ v))
+        v = 0.25 * back(x, share * times(x, v)) + penalty(v)
         top = float(np.linalg.norm(v)) or 1.0
         v /= top
     rate = 1 / (top * 1.1 + RIDGE + 0.25)
-    w = ahead = np.zeros(len(kept), np.float32)
+    w = ahead = np.zeros(len(kept))
     b = ahead_b = 0.0
     for t in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(x @ ahead + ahead_b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(times(x, ahead) + ahead_b, -30, 30)))
         g = share * (p - y)
-        gradient = x.T @ g + RIDGE * ahead
-        if have:
-            gradient = gradient + (2 * counterfactual / len(have)) * (change.T @ (change @ ahead))
+        gradient = back(x, g) + RIDGE * ahead + penalty(ahead)
         new, new_b = ahead - rate * gradient, ahead_b - rate * float(g.sum())
         push = t / (t + 3)
         ahead, ahead_b = new + push * (new - w), new_b + push * (new_b - b)
