@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filter
+from tidemark.llm import bpe, exact_dedup, jaccard_join, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filter
 from tidemark.llm.common import documents
 
 
@@ -48,7 +48,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op2_bpe": op2_bpe,
