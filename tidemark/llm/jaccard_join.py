@@ -89,13 +89,13 @@ def subset_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarra
     """A key (sum of mixed members) and the size of every enumerated subset."""
     n = len(tokens)
     parts = mix(tokens)
-    whole = parts.sum(dtype=np.uint64)
+    whole = parts.sum(dtype=np.uint64, keepdims=True)
     keys, sizes = [], []
     for j in range(n - least_overlap(n, percent) + 1):
         for left_out in combinations(range(n), j):
-            keys.append(whole - parts[list(left_out)].sum(dtype=np.uint64))
+            keys.append(whole - parts[list(left_out)].sum(dtype=np.uint64, keepdims=True))
             sizes.append(n - j)
-    return mix(np.array(keys, np.uint64) + np.array(sizes, np.uint64)), np.array(sizes, np.int64)
+    return mix(np.concatenate(keys) + np.array(sizes, np.uint64)), np.array(sizes, np.int64)
 
 
 def described(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], small: int) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, jaccard_join, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filter
+from tidemark.llm import bpe, exact_dedup, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup, token_counts, toxicity, url_filter
 from tidemark.llm.common import documents
 
 
@@ -52,7 +52,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(documents(spark, sf_dir))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removals(documents(spark, sf_dir)).drop("mark")
+
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
