@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, durable
+from tidemark.llm.common import ascii_lower, durable, small_side
+
+#: Rows that may be broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def exact_dedup(docs: DataFrame, salts: int = 16, digest: Callable[[Column], Column] = lambda text: F.sha2(text, 256)) -> DataFrame:
@@ -47,3 +50,33 @@ def exact_dedup(docs: DataFrame, salts: int = 16, digest: Callable[[Column], Col
     return answers.withColumn("turn", turn).select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("turn") == 1)).alias("kept"), "text_sha256"
     )
+
+
+def keep_first(docs: DataFrame, salts: int = 16) -> DataFrame:
+    """The rows of docs, all columns, that `exact_dedup` keeps: one of each set of equal texts, with the largest doc_id.
+
+    Rows are told apart by doc_id and digest of the text; of rows that repeat both, one stays. Texts don't move again as long
+    as the dropped rows are proven few enough for a broadcast; beyond that the rows are shuffled.
+    """
+    answers = durable(exact_dedup(docs, salts))
+    by = answers.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    gone, repeated = durable(by.where("not stays").drop("stays", "n")), durable(by.where("stays and n > 1").drop("stays", "n"))
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    doc_id, text = (f"c{[n.lower() for n in names].index(c)}" for c in ("doc_id", "text"))
+    keyed = plain.withColumn("digest", F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256))
+    out = _others(keyed, gone, doc_id)
+    if repeated.limit(1).count():
+        both = keyed.join(repeated, _same(keyed, repeated, doc_id), "left_semi")
+        once = both.withColumn("turn", F.row_number().over(Window.partitionBy(doc_id, "digest").orderBy("digest"))).where("turn = 1").drop("turn")
+        out = _others(out, repeated, doc_id).unionByName(once)
+    return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+
+
+def _same(keyed: DataFrame, rows: DataFrame, doc_id: str) -> Column:
+    return keyed[doc_id].eqNullSafe(rows["doc_id"]) & (keyed["digest"] == rows["text_sha256"])
+
+
+def _others(keyed: DataFrame, rows: DataFrame, doc_id: str) -> DataFrame:
+    side = small_side(rows, BROADCAST_ROWS)
+    return keyed.join(side, _same(keyed, side, doc_id), "left_anti")

@@ -237,3 +237,15 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     out = durable(rows.select("doc_id", *key, "salt").join(ids, [*key, "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
     scratch.drop()
     return out
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns, without those that `similar_groups` finds to be in the group of a smaller doc_id. Rows
+    without words or with a null doc_id all stay."""
+    groups = similar_groups(docs, k, percent)
+    gone = durable(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct())
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    doc_id = f"c{[n.lower() for n in names].index('doc_id')}"
+    side = small_side(gone, BROADCAST_IDS)
+    return plain.join(side, plain[doc_id].cast("long") == side["gone_id"], "left_anti").select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

@@ -8,6 +8,7 @@ from bisect import bisect_right, insort
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import gathered, word_bpe
 
@@ -151,3 +152,8 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
 
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     return source.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, window long, step_group long")
+
+
+def packed_digests(docs: DataFrame, path: str) -> DataFrame:
+    """The pieces of `pack` with the CRC-32 of their ids in place of the ids."""
+    return pack(docs, path).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group")

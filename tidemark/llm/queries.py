@@ -28,8 +28,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group")
+    return packing.packed_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
