@@ -2,5 +2,490 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tidemark.functions.dates import normalize_datetime
+from tidemark.functions.hashing import content_hash
+from tidemark.functions.images import dimension
+from tidemark.functions.price import parse_price
+from tidemark.functions.text import clean_text
+from tidemark.functions.urls import extract_external_id, image_file, normalize_image_url, normalize_url, part
+from tidemark.operators import announcements, fetchlog, normalize, pages, queue, report, store
+from tidemark.session import configure
+from tidemark.sources import landed, sinks
+
+BASE = "https://www.example.com"
+AT = "2026-01-01T00:00:00Z"
 QUERIES = {}
 ORACLE_SQL = {}
+
+
+def query(sql: str | None = None):
+    """Register a query on tables, read by name, under the function's name."""
+
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+        QUERIES[f.__name__] = run
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# -- urls
+
+CANONICAL = """
+    p AS (SELECT page_id, html, url,
+            regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1) AS host,
+            regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1) AS path,
+            regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) AS q FROM pages),
+    q AS (SELECT *, array_to_string(list_sort(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(split_part(x, '=', 1)), '^(utm_.*|fbclid|gclid|msclkid|agent|agent_force|lang)$'))), '&') AS kept,
+            regexp_replace(regexp_replace(path, '/{2,}', '/', 'g'), '/+$', '') AS trimmed FROM p),
+    c AS (SELECT *, 'https://' || lower(host) || CASE WHEN trimmed = '' THEN '/' ELSE trimmed END || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS canonical FROM q)
+"""
+
+
+@query(f"WITH {CANONICAL} SELECT page_id, canonical FROM c")
+def url_canonical(t):
+    return t("pages").select("page_id", normalize_url(F.col("url")).alias("canonical"))
+
+
+@query(f"WITH {CANONICAL} SELECT canonical, min(page_id) AS page_id, count(*) AS copies FROM c GROUP BY canonical")
+def url_dedup(t):
+    rows = t("pages").select("page_id", normalize_url(F.col("url")).alias("canonical"))
+    return rows.groupBy("canonical").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("copies"))
+
+
+@query(f"WITH {CANONICAL} SELECT lower(host) AS host, count(*) AS pages FROM c GROUP BY 1")
+def url_host_counts(t):
+    return t("pages").groupBy(part(normalize_url(F.col("url")), 4).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query("SELECT page_id, CAST(page_id AS VARCHAR) AS external_id FROM pages")
+def external_id(t):
+    listed = F.concat(F.regexp_replace("url", "[?#].*$", ""), F.lit("/x-d"), F.col("page_id").cast("string"), F.lit("?ref=1"))
+    return t("pages").select("page_id", extract_external_id(listed).alias("external_id"))
+
+
+@query("SELECT page_id, 'https://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || regexp_extract(url, '://[^/?#]*([^?#]*)', 1) || regexp_extract(url, '(\\?[^#]*)', 1) AS image, CASE WHEN page_id % 120 < 10 THEN '0' ELSE '' END || (page_id % 120) || '.jpg' AS file, CAST(nullif(page_id % 50, 0) AS INTEGER) AS width FROM pages")
+def image_urls(t):
+    number = (F.col("page_id") % 120).cast("int")
+    return t("pages").select("page_id", normalize_image_url(F.regexp_replace("url", "^https?:", "")).alias("image"), image_file(F.col("url"), number).alias("file"), dimension(F.concat((F.col("page_id") % 50).cast("string"), F.lit("px"))).alias("width"))
+
+
+# -- pages
+
+
+@query("SELECT page_id, trim(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&amp;', '&')) AS title, true AS semantic FROM pages")
+def html_title_h1(t):
+    read = pages.read_pages(t("pages").select("page_id", "html"), BASE)
+    return read.select("page_id", F.col("found.title").alias("title"), F.array_contains("found.strategies", "semantic").alias("semantic"))
+
+
+@query("""
+    SELECT page_id, pos - 1 AS pos, 'https://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || link AS link
+    FROM (SELECT page_id, url, unnest(links) AS link, generate_subscripts(links, 1) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, 'href="(/[^"#]*)"', 1) AS links FROM pages))
+""")
+def html_links_explode(t):
+    rows = t("pages").select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit('href="(/[^"#]*)"'), 1)).alias("pos", "href"))
+    return rows.select("page_id", "pos", normalize_image_url(F.col("href"), F.col("url")).alias("link"))
+
+
+@query("SELECT CAST(page_id AS VARCHAR) AS external_id, 'https://www.example.com/p-d' || page_id AS url, trim(regexp_replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
+def html_listings(t):
+    rows = t("pages").select(F.concat(F.lit(f"{BASE}/p-d"), F.col("page_id").cast("string")).alias("page_url"), "html")
+    return normalize.normalize_listings(pages.parse_pages(rows, BASE, AT, "example")).select("external_id", "url", "title")
+
+
+# -- texts
+
+
+@query("SELECT doc_id, nullif(trim(regexp_replace(nfc_normalize(text), '\\s+', ' ', 'g')), '') AS text FROM documents")
+def clean_text_line(t):
+    return t("documents").select("doc_id", clean_text(F.col("text")).alias("text"))
+
+
+@query("SELECT doc_id, nullif(trim(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(text), '[ \\t]+', ' ', 'g'), '(?m)^ +| +$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)), '') AS text FROM documents")
+def clean_text_block(t):
+    return t("documents").select("doc_id", clean_text(F.col("text"), keep_newlines=True).alias("text"))
+
+
+@query("""SELECT doc_id, sha256('{"lang":' || to_json(lang) || ',"source":' || to_json(source) || ',"text":' || to_json(text) || '}') AS hash FROM documents""")
+def content_hashes(t):
+    return t("documents").select("doc_id", content_hash(F.struct("lang", "source", "text")).alias("hash"))
+
+
+def arrivals(t):
+    return t("documents").select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("external_id"), F.concat(F.lit(f"{BASE}/d"), F.col("doc_id").cast("string")).alias("url"), F.sha2("text", 256).alias("content_hash"))
+
+
+OUTCOMES = "o AS (SELECT doc_id, CASE WHEN row_number() OVER w = 1 THEN 'inserted' ELSE 'duplicate' END AS outcome, CASE WHEN row_number() OVER w > 1 THEN CAST(first_value(doc_id) OVER w AS VARCHAR) END AS duplicate_of FROM documents WINDOW w AS (PARTITION BY text ORDER BY doc_id))"
+
+
+@query(f"WITH {OUTCOMES} SELECT doc_id AS seq, outcome, duplicate_of FROM o")
+def content_dedup(t):
+    return store.save_listings(arrivals(t)).select("seq", "outcome", "duplicate_of")
+
+
+@query(f"WITH {OUTCOMES} SELECT outcome, count(*) AS n FROM o GROUP BY outcome")
+def dup_counts(t):
+    return store.save_listings(arrivals(t)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    WITH a AS (SELECT user_id, event_id, coalesce(CAST(round(value) AS BIGINT), -1) AS v FROM events),
+    n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k, lag(v) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM a)
+    SELECT event_id AS seq, CASE WHEN k = 1 THEN 'inserted' WHEN before = v THEN 'unchanged' ELSE 'updated' END AS outcome FROM n
+""")
+def store_replay(t):
+    """Arrivals of repeated ids, whose hashes tell ids apart: the exact path."""
+    user = F.col("user_id").cast("string")
+    value = F.coalesce(F.round("value").cast("bigint"), F.lit(-1)).cast("string")
+    rows = t("events").select(F.col("event_id").alias("seq"), user.alias("external_id"), F.concat(F.lit(f"{BASE}/u"), user).alias("url"), F.concat_ws("-", user, value).alias("content_hash"))
+    return store.save_listings(rows).select("seq", "outcome")
+
+
+@query("""
+    SELECT count(*) AS total_listings, count(*) FILTER (text <> '') AS with_title, count(l.quality) AS with_price, count(*) FILTER (source <> '') AS with_description,
+        count(*) FILTER (n_chars % 2 = 0) AS with_images, count(*) FILTER (lang = 'en') AS with_location, count(*) FILTER (l.toxic = 1) AS with_seller,
+        count(*) FILTER (lang <> '') AS with_category, count(l.toxic) AS with_published_at
+    FROM documents d LEFT JOIN labels l USING (doc_id)
+""")
+def completeness(t):
+    rows = t("documents").join(t("labels"), "doc_id", "left")
+    none = F.lit(None).cast("string")
+    listings = rows.select(
+        F.col("text").alias("title"), F.struct(F.col("quality").cast("double").alias("amount")).alias("price"), F.col("source").alias("description"),
+        F.when(F.col("n_chars") % 2 == 0, F.array("doc_id")).otherwise(F.array().cast("array<long>")).alias("images"),
+        F.struct(none.alias("wilaya"), F.when(F.col("lang") == "en", "x").otherwise("").alias("commune"), none.alias("raw")).alias("location"),
+        F.struct(F.when(F.col("toxic") == 1, "x").alias("display_name")).alias("seller"), F.col("lang").alias("category"), F.col("toxic").cast("string").alias("published_at"),
+    )
+    return report.completeness(listings)
+
+
+# -- prices and dates
+
+
+@query("SELECT p_partkey, round(p_retailprice, 2) AS amount, 'DZD' AS currency FROM part")
+def price_parse(t):
+    cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
+    whole, rest = F.floor(cents / 100), F.lpad((cents % 100).cast("string"), 2, "0")
+    text = F.concat(F.when(whole >= 1000, F.concat(F.floor(whole / 1000).cast("string"), F.lit(" "), F.lpad((whole % 1000).cast("string"), 3, "0"))).otherwise(whole.cast("string")), F.lit(","), rest, F.lit(" DA"))
+    price = parse_price(text)
+    return t("part").select("p_partkey", F.round(price["amount"], 2).alias("amount"), price["currency"].alias("currency"))
+
+
+@query("""SELECT o_orderkey, round((o_orderkey % 97 + 0.5) * CASE o_orderkey % 3 WHEN 0 THEN 10000 WHEN 1 THEN 10000000 ELSE 1 END, 2) AS amount, CASE o_orderkey % 3 WHEN 0 THEN 'MILLIONS' WHEN 1 THEN 'MILLIARD' END AS unit FROM orders""")
+def price_units(t):
+    words = F.element_at(F.array(F.lit(" Millions"), F.lit(" milliard"), F.lit(" dinars")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    price = parse_price(F.concat((F.col("o_orderkey") % 97).cast("string"), F.lit(",5"), words))
+    return t("orders").select("o_orderkey", F.round(price["amount"], 2).alias("amount"), price["unit"].alias("unit"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate - INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS at FROM orders")
+def datetime_norm(t):
+    return t("orders").select("o_orderkey", normalize_datetime(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".250+01"))).alias("at"))
+
+
+# -- announcement records
+
+SEGMENTS = "SELECT c_custkey, c_mktsegment, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+
+
+@query(f"SELECT CAST(c_custkey AS VARCHAR) AS external_id, r_name AS category, c_mktsegment AS subcategory, r_name || ' > ' || n_name || ' > ' || c_mktsegment AS path FROM ({SEGMENTS})")
+def category_path(t):
+    rows = t("customer").join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    tree = F.array(F.struct(F.col("r_name").alias("name")), F.struct(F.col("n_name").alias("name")))
+    payloads = rows.select(F.to_json(F.struct(F.col("c_custkey").alias("id"), F.struct(F.col("c_mktsegment").alias("name"), tree.alias("parentTree")).alias("category"))).alias("payload"))
+    parsed = announcements.parse_announcements(payloads, BASE, AT, "example")
+    return parsed.select("external_id", "category", "subcategory", F.array_join(F.try_variant_get("source_metadata", "$.category_path", "array<string>"), " > ").alias("path"))
+
+
+def part_payloads(t):
+    spec = lambda name, value: F.struct(F.struct(F.lit(name).alias("codename"), F.lit(name.upper()).alias("label")).alias("specification"), value.alias("valueText"))
+    media = F.struct(F.concat(F.lit("//img.example.com/"), F.col("p_partkey").cast("string"), F.lit(".jpg#top")).alias("mediaUrl"))
+    return t("part").select(
+        F.to_json(
+            F.struct(
+                F.col("p_partkey").alias("id"), F.concat(F.lit("  "), "p_name", F.lit("  x ")).alias("title"), F.col("p_type").alias("description"), F.lit("part").alias("slug"),
+                F.round("p_retailprice").cast("bigint").alias("price"), F.lit("2026-04-14T10:00:00+01:00").alias("createdAt"),
+                F.struct(F.col("p_brand").alias("name")).alias("category"), F.array(spec("size", F.to_variant_object(F.array(F.col("p_size").cast("string")))), spec("brand", F.col("p_brand").cast("variant"))).alias("specs"),
+                F.array(media, media).alias("medias"), F.struct(F.lit("Ana").alias("displayName")).alias("user"),
+            )
+        ).alias("payload")
+    )
+
+
+@query("""
+    SELECT CAST(p_partkey AS VARCHAR) AS external_id, 'https://www.example.com/part-d' || p_partkey AS url, p_name || ' x' AS title, '2026-04-14T09:00:00Z' AS published_at, CAST(round(p_retailprice) AS BIGINT) AS amount, 'DZD' AS currency,
+        CAST(CAST(round(p_retailprice) AS BIGINT) AS VARCHAR) AS raw, CAST(p_size AS VARCHAR) AS size, 1 AS images, 'https://img.example.com/' || p_partkey || '.jpg' AS image, 'individual' AS seller_type,
+        sha256('{"attributes":{"brand":' || to_json(p_brand) || ',"size":"' || p_size || '"},"category":' || to_json(p_brand) || ',"description":' || to_json(p_type) || ',"location":[null,null],"price":[' || CAST(round(p_retailprice) AS BIGINT) || ',null],"seller":"Ana","subcategory":null,"title":' || to_json(p_name || ' x') || '}') AS content_hash
+    FROM part
+""")
+def normalized_listings(t):
+    parsed = announcements.parse_announcements(part_payloads(t), BASE, AT, "example").where("rejected is null").drop("rejected")
+    n = normalize.normalize_listings(parsed)
+    return n.select(
+        "external_id", "url", "title", "published_at", F.col("price.amount").cast("bigint").alias("amount"), F.col("price.currency").alias("currency"), F.col("price.raw").alias("raw"),
+        F.try_variant_get("attributes", "$.size", "string").alias("size"), F.size("images").alias("images"), F.get("images", F.lit(0))["url"].alias("image"), F.col("seller.type").alias("seller_type"), "content_hash",
+    )
+
+
+@query("""
+    SELECT CAST(conv_id AS VARCHAR) AS external_id, 'https://www.example.com/c-d' || conv_id AS listing_url, 'https://img.example.com/' || name || '.png' AS url, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY first_turn) - 1 AS INTEGER) AS position
+    FROM (SELECT conv_id, role || '-' || (turn % 3) AS name, min(turn) AS first_turn FROM conversations GROUP BY 1, 2)
+""")
+def images_per_listing(t):
+    turns = t("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("turns"))
+    medias = F.transform("turns", lambda x: F.struct(F.concat(F.lit("http://IMG.example.com/"), x["role"], F.lit("-"), (x["turn"] % 3).cast("string"), F.lit(".png")).alias("mediaUrl"), F.lit("image/png").alias("mimeType")))
+    payloads = turns.select(F.to_json(F.struct(F.col("conv_id").alias("id"), F.lit("c").alias("slug"), medias.alias("medias"))).alias("payload"))
+    return sinks.image_records(announcements.parse_announcements(payloads, BASE, AT, "example")).select("external_id", "listing_url", "url", "position")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS external_id, 'https://www.example.com/' || lower(replace(p_type, ' ', '-')) || '-d' || p_partkey AS url FROM part WHERE p_partkey > 0")
+def discovered_listings(t):
+    """Search pages of 48 records, each holding its first record twice. The id 0 counts as none."""
+    node = F.struct(F.col("p_partkey").alias("id"), F.lower(F.replace("p_type", F.lit(" "), F.lit("-"))).alias("slug"))
+    nodes = t("part").withColumn("page", F.floor(F.col("p_partkey") / 48)).groupBy("page").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+    data = F.concat("nodes", F.slice("nodes", 1, 1))
+    payload = F.to_json(F.struct(F.struct(F.struct(data.alias("data"), F.struct(F.lit(True).alias("hasMorePages")).alias("paginatorInfo")).alias("announcements")).alias("search")))
+    found = landed.search_pages(nodes.select("page", payload.alias("payload")))
+    return landed.discovered(found, BASE).select("external_id", "url")
+
+
+@query("SELECT r_name AS parent, n_name AS slug FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey < 3 UNION ALL SELECT r_name, r_name FROM region WHERE r_regionkey >= 3")
+def category_depth2(t):
+    """Regions as top categories; those below 3 have their nations as children."""
+    children = t("nation").where("n_regionkey < 3").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct(F.col("n_name").alias("slug")))).alias("c"))
+    payload = F.to_json(F.struct(F.struct(F.struct(F.struct(F.col("c").alias("children")).alias("category")).alias("active")).alias("search")))
+    answers = t("region").join(children, F.col("r_regionkey") == F.col("n_regionkey")).select(F.col("r_name").alias("slug"), payload.alias("payload"))
+    top = t("region").select(F.col("r_name").alias("slug"), F.col("r_regionkey").alias("pos"))
+    found = landed.child_categories(top, answers)
+    parents = t("region").select(F.col("r_name").alias("parent"), F.col("r_regionkey").alias("k"))
+    return found.join(parents, F.floor(F.col("pos") / F.lit(1 << 31)) == F.col("k")).select("parent", "slug")
+
+
+# -- queue
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def status_counts(t):
+    return t("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def transitions(t):
+    op = F.create_map(*[F.lit(x) for kv in {"signup": "discovered", "view": "processing", "click": "release", "error": "failed", "purchase": "saved"}.items() for x in kv])
+    return t("events").select(
+        F.col("event_id").alias("seq"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), F.col("user_id").cast("string").alias("external_id"),
+        F.get(F.map_values(F.map_filter(op, lambda k, _: k == F.col("event_type"))), F.lit(0)).alias("op"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"),
+        F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 2 == 0, "duplicate_of:1").otherwise("HTTP 500")).alias("error"),
+        F.lit(None).cast("int").alias("http_status"), (F.col("event_id") % 2 == 0).alias("counted"), F.lit(None).cast("string").alias("content_hash"),
+    )
+
+
+FOLD = """
+    e AS (SELECT 'u' || user_id AS url, event_id, event_type AS op, event_id % 2 = 0 AS counted, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+    f AS (SELECT url, k, CASE WHEN op = 'signup' THEN 'DISCOVERED' END AS status, 0 AS attempts, CAST(NULL AS VARCHAR) AS error FROM e WHERE k = 1
+        UNION ALL SELECT e.url, e.k,
+            CASE WHEN f.status IS NULL THEN CASE WHEN e.op = 'signup' THEN 'DISCOVERED' END WHEN e.op = 'view' THEN 'PROCESSING' WHEN e.op = 'click' THEN 'DISCOVERED' WHEN e.op = 'error' THEN 'FAILED' WHEN e.op = 'purchase' THEN 'SUCCESS' ELSE f.status END,
+            CASE WHEN f.status IS NULL THEN 0 WHEN e.op = 'view' THEN f.attempts + 1 WHEN e.op = 'click' AND NOT e.counted THEN greatest(0, f.attempts - 1) ELSE f.attempts END,
+            CASE WHEN f.status IS NULL THEN NULL WHEN e.op IN ('click', 'purchase') THEN NULL WHEN e.op = 'error' THEN CASE WHEN e.event_id % 2 = 0 THEN 'duplicate_of:1' ELSE 'HTTP 500' END ELSE f.error END
+        FROM f JOIN e ON e.url = f.url AND e.k = f.k + 1),
+    s AS (SELECT url, arg_max(status, k) AS status, arg_max(coalesce(error, ''), k) AS error, arg_max(attempts, k) AS attempts FROM f GROUP BY url)
+"""
+
+
+def known_transitions(t):
+    """Transitions from each url's discovery on: what stands before it concerns no queued url."""
+    own = Window.partitionBy("url").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    return transitions(t).withColumn("there", F.max(F.col("op") == "discovered").over(own)).where("there").drop("there")
+
+
+@query(f"WITH RECURSIVE {FOLD} SELECT url, status, attempts, error FROM s WHERE status IS NOT NULL")
+def queue_fold(t):
+    return queue.queue_state(known_transitions(t)).select("url", "status", "attempts", F.coalesce("error", F.lit("")).alias("error"))
+
+
+@query(f"""WITH RECURSIVE {FOLD} SELECT count(*) AS discovered, count(*) FILTER (status = 'SUCCESS') AS success, count(*) FILTER (status = 'FAILED') AS failed, count(*) FILTER (status = 'SKIPPED') AS skipped,
+    count(*) FILTER (status IN ('DISCOVERED', 'PROCESSING')) AS pending, count(*) FILTER (status IN ('SUCCESS', 'FAILED', 'SKIPPED')) AS processed, count(*) FILTER (error LIKE 'duplicate_of:%') AS duplicates FROM s WHERE status IS NOT NULL""")
+def queue_counts(t):
+    return report.counts(queue.queue_state(known_transitions(t)))
+
+
+@query("SELECT 'e' || event_id AS url FROM events WHERE event_type = 'signup' ORDER BY ts, event_id LIMIT 200")
+def queue_pending(t):
+    """The next 200 of the queue, in the order of discovery: a report whose limit is the feature."""
+    rows = t("events").select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("url"), F.when(F.col("event_type") == "signup", "DISCOVERED").otherwise("SUCCESS").alias("status"), F.col("ts").alias("first_seen_at"), F.col("event_id").alias("first_seq"))
+    return queue.pending(rows, queue.batch_size(1000)).select("url")
+
+
+@query("SELECT 'e' || event_id AS url, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS failed_at FROM events WHERE event_type = 'error' ORDER BY 2 DESC, 1 LIMIT 50")
+def recent_failures(t):
+    rows = t("events").select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("url"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("failed_at"))
+    return queue.failed(rows).select("url", "failed_at")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k = 1")
+def latest_state(t):
+    return store.latest(t("events").select("user_id", "event_id", "event_type"), "user_id", "event_id")
+
+
+@query("SELECT c_custkey, CAST(count(*) FILTER (event_type = 'view') AS INTEGER) AS attempts FROM customer LEFT JOIN events ON c_custkey = user_id GROUP BY c_custkey")
+def attempt_lookup(t):
+    state = t("events").where("event_type = 'view'").groupBy(F.col("user_id").alias("url")).agg(F.count(F.lit(1)).cast("int").alias("attempts"))
+    return queue.attempts(state, t("customer").select(F.col("c_custkey").alias("url"))).withColumnRenamed("url", "c_custkey")
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'error' AND event_id % 5 < 3 THEN 'release' ELSE 'failed' END AS op FROM events")
+def retry_rule(t):
+    rows = t("events").select("event_id", (F.col("event_type") == "error").alias("retryable"), (F.col("event_id") % 5).alias("attempts"))
+    return queue.after_error(rows).select("event_id", "op")
+
+
+@query("SELECT min(o_orderkey) AS seq, 'c' || o_custkey AS url FROM orders WHERE o_custkey % 2 = 1 GROUP BY o_custkey")
+def insert_if_absent(t):
+    key = lambda c: F.concat(F.lit("c"), F.col(c).cast("string"))
+    table = t("customer").where("c_custkey % 2 = 0").select(key("c_custkey").alias("url"), F.col("c_custkey").alias("external_id"))
+    rows = t("orders").select(F.col("o_orderkey").alias("seq"), key("o_custkey").alias("url"), F.col("o_custkey").alias("external_id"))
+    return store.insert_if_absent(table, rows).select("seq", "url")
+
+
+@query("""
+    SELECT c_custkey, coalesce(a.s_suppkey, b.s_suppkey) AS stored_id FROM customer LEFT JOIN supplier a ON c_custkey = a.s_suppkey
+    LEFT JOIN (SELECT s_nationkey, min(s_suppkey) AS s_suppkey FROM supplier GROUP BY 1) b ON c_nationkey = b.s_nationkey
+""")
+def exists_or(t):
+    rows = t("customer").select(F.col("c_custkey").alias("external_id"), F.col("c_nationkey").alias("url"))
+    table = t("supplier").select(F.col("s_suppkey").alias("external_id"), F.col("s_nationkey").alias("url"))
+    return store.matching(rows, table).select(F.col("external_id").alias("c_custkey"), "stored_id")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)")
+def delete_keys(t):
+    return store.delete_keys(t("customer").select("c_custkey"), t("orders").where("o_orderkey % 7 = 0").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_suppkey END AS number FROM supplier")
+def numeric_id_order(t):
+    text = F.concat(F.when(F.col("s_suppkey") % 3 == 0, "x").otherwise(" "), F.col("s_suppkey").cast("string"), F.lit("ab"))
+    return t("supplier").select("s_suppkey", landed.numeric_id(text).alias("number"))
+
+
+@query("""
+    SELECT count(*) FILTER (n_regionkey % 2 = 0) AS done, count(*) AS categories, arg_min(n_name, n_nationkey) FILTER (n_regionkey % 2 = 1) AS next_category,
+        CAST(arg_min(CASE WHEN n_nationkey % 2 = 1 THEN n_nationkey + 1 ELSE 1 END, n_nationkey) FILTER (n_regionkey % 2 = 1) AS INTEGER) AS next_page FROM nation
+""")
+def resume_point(t):
+    """Nations as categories: those of even regions were done and stay so; odd nations have a cursor."""
+    rows = t("nation")
+    slugs = rows.select(F.col("n_name").alias("slug"), F.col("n_nationkey").alias("pos"))
+    even = rows.where("n_regionkey % 2 = 0").select(F.col("n_name").alias("slug"))
+    cursors = rows.where("n_nationkey % 2 = 1").select(queue.cursor_key(F.col("n_name")).alias("key"), (F.col("n_nationkey") + 1).cast("string").alias("value"), F.lit(2).cast("long").alias("seq"))
+    state = queue.mark_done(rows.select(F.col("n_name").alias("slug")), 0).unionByName(queue.reopen(rows.select(F.col("n_name").alias("slug")), 1)).unionByName(cursors).unionByName(queue.mark_done(even, 3))
+    return queue.resume_point(queue.category_progress(state, slugs))
+
+
+# -- fetch logs
+
+STATUS = "CASE event_type WHEN 'view' THEN 200 WHEN 'click' THEN 503 WHEN 'error' THEN 429 WHEN 'purchase' THEN 403 ELSE 404 END"
+
+
+def fetches(t):
+    status = F.expr(STATUS)
+    html = F.when(F.col("event_id") % 11 == 0, F.lit("<html><TITLE>Just a moment</TITLE>")).otherwise(F.lit("{}"))
+    kind = F.when(F.col("event_id") % 11 == 0, "text/html; charset=utf-8").otherwise("application/json")
+    return t("events").select(
+        F.col("user_id").cast("string").alias("run_id"), F.col("event_id").alias("seq"), F.concat(F.lit("p"), (F.col("event_id") % 3).cast("string")).alias("url"), F.when(F.col("event_id") % 13 != 0, status).alias("status"),
+        F.create_map(F.lit("Content-Type"), kind, F.lit("Retry-After"), (F.col("event_id") % 7).cast("string")).alias("headers"), html.alias("body"),
+        F.when(F.col("event_id") % 13 == 0, "ConnectError").alias("error"), F.col("ts").alias("at"),
+    )
+
+
+OUTCOME = f"""c AS (SELECT *, CASE WHEN event_id % 13 = 0 THEN 'transport' WHEN event_id % 11 = 0 THEN 'challenge' WHEN {STATUS} = 429 THEN 'rate_limited' WHEN {STATUS} = 403 THEN 'forbidden'
+    WHEN {STATUS} = 503 THEN 'retryable' WHEN {STATUS} >= 400 THEN 'permanent' ELSE 'ok' END AS outcome FROM events)"""
+
+
+@query(f"WITH {OUTCOME} SELECT event_id AS seq, outcome, row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id) AS attempt, CASE WHEN outcome IN ('retryable', 'rate_limited', 'transport') THEN CAST(event_id % 7 AS DOUBLE) END AS wait FROM c")
+def fetch_outcomes(t):
+    return fetchlog.classified(fetches(t)).select("seq", "outcome", "attempt", "wait")
+
+
+@query(f"""
+    WITH {OUTCOME},
+    i AS (SELECT *, sum(CAST(outcome = 'ok' AS INT)) OVER (PARTITION BY user_id ORDER BY event_id) AS a, sum(CAST(outcome <> 'transport' AS INT)) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM c),
+    h AS (SELECT user_id, event_id, 'blocked' AS reason FROM i WHERE outcome = 'challenge'
+        UNION ALL SELECT user_id, event_id, 'blocked' FROM (SELECT *, row_number() OVER (PARTITION BY user_id, a, outcome ORDER BY event_id) AS k FROM i WHERE outcome IN ('rate_limited', 'forbidden')) WHERE k = 3
+        UNION ALL SELECT user_id, event_id, 'connection_failure' FROM (SELECT *, row_number() OVER (PARTITION BY user_id, b ORDER BY event_id) AS k FROM i WHERE outcome = 'transport') WHERE k = 6)
+    SELECT CAST(user_id AS VARCHAR) AS run_id, min(event_id) AS seq, arg_min(reason, event_id) AS reason FROM h GROUP BY user_id
+""")
+def fetch_blocks(t):
+    return fetchlog.blocks(fetchlog.classified(fetches(t)))
+
+
+@query(f"""
+    WITH {OUTCOME}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id) AS k FROM c),
+    e AS (SELECT user_id, event_id % 3 AS u, coalesce(min(k) FILTER (outcome NOT IN ('retryable', 'rate_limited', 'transport') OR k = 4), max(k)) AS k FROM n GROUP BY 1, 2)
+    SELECT n.event_id AS seq, n.outcome, n.k AS attempt FROM n JOIN e ON n.user_id = e.user_id AND n.event_id % 3 = e.u AND n.k = e.k
+""")
+def fetch_retries(t):
+    return fetchlog.final_attempts(fetchlog.classified(fetches(t))).select("seq", "outcome", "attempt")
+
+
+@query(f"""
+    WITH RECURSIVE {OUTCOME}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM c),
+    f AS (SELECT user_id, 0 AS k, 1.0::DOUBLE AS factor, 0 AS good FROM (SELECT DISTINCT user_id FROM events)
+        UNION ALL SELECT f.user_id, n.k, CASE WHEN outcome = 'rate_limited' THEN least(16.0, factor * 2) WHEN outcome = 'ok' AND good >= 49 AND factor > 1 THEN greatest(1.0, factor / 2) ELSE factor END,
+            CASE WHEN outcome = 'rate_limited' THEN 0 WHEN outcome = 'ok' AND good >= 49 AND factor > 1 THEN 0 WHEN outcome = 'ok' THEN good + 1 ELSE good END
+        FROM f JOIN n ON n.user_id = f.user_id AND n.k = f.k + 1)
+    SELECT CAST(user_id AS VARCHAR) AS run_id, arg_max(factor, k) AS slow_factor FROM f GROUP BY user_id
+""")
+def slow_factors(t):
+    return fetchlog.slow_factor(fetchlog.classified(fetches(t)))
+
+
+@query(f"WITH {OUTCOME} SELECT CAST(user_id AS VARCHAR) AS run_id, count(*) AS requests, count(*) FILTER (outcome = 'ok') AS good, count(*) FILTER (outcome <> 'ok') AS bad, round(epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6, 3) AS elapsed FROM c GROUP BY user_id")
+def run_stats(t):
+    return fetchlog.run_stats(fetchlog.classified(fetches(t))).select("run_id", "requests", "good", "bad", F.round("elapsed", 3).alias("elapsed"))
+
+
+@query("SELECT event_id, CASE event_type WHEN 'view' THEN 'ok' WHEN 'click' THEN 'partial' WHEN 'error' THEN 'blocked' ELSE 'permanent' END AS outcome FROM events")
+def graphql_outcomes(t):
+    body = F.expr("""CASE event_type WHEN 'view' THEN '{"data": {"a": 1}}' WHEN 'click' THEN '{"data": {"a": 1}, "errors": [{"message": "slow"}]}'
+        WHEN 'error' THEN '{"data": {"a": 1}, "errors": [{"message": "Too MANY requests"}]}' ELSE '{"data": null, "errors": ["bad"]}' END""")
+    return t("events").select("event_id", fetchlog.graphql_outcome(body).alias("outcome"))
+
+
+@query(f"SELECT event_id, CASE {STATUS} WHEN 200 THEN 'rules' WHEN 403 THEN 'allow_all' WHEN 404 THEN 'allow_all' ELSE 'block' END AS rule FROM events")
+def robots_rules(t):
+    return t("events").select("event_id", fetchlog.robots_rule(F.expr(STATUS)).alias("rule"))
+
+
+@query("""
+    WITH i AS (SELECT user_id, event_id, event_type, sum(CAST(event_type <> 'error' AS INT)) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM events)
+    SELECT user_id, min(event_id) AS first, max(event_id) AS last, count(*) AS length FROM i WHERE event_type = 'error' GROUP BY user_id, island
+""")
+def failure_streaks(t):
+    return fetchlog.streaks(t("events"), F.col("event_type") == "error", "event_id", ("user_id",))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_props(t):
+    return t("events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
+
+
+@query("SELECT 'fetch' AS event, 'https://www.example.com/' || event_id AS url, 200 AS status, CASE WHEN event_type = 'error' THEN 'no answer' END AS error FROM events")
+def event_log(t):
+    line = F.concat(F.lit("INFO event=fetch url="), F.lit(f"{BASE}/"), F.col("event_id").cast("string"), F.lit(" status=200"), F.when(F.col("event_type") == "error", " error='no answer' n=1").otherwise(""))
+    return landed.event_lines(t("events").select(line.alias("value")))
+
+
+@query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
+def event_windows(t):
+    """Extension: the batch form of the streaming windows."""
+    hours = t("events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    return hours.select(F.col("w.start").alias("hour"), "event_type", "n", "total")
