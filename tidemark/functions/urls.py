@@ -59,7 +59,7 @@ def extract_external_id(url: Column) -> Column:
 def normalize_image_url(url: Column, base: Column | None = None) -> Column:
     """An absolute https URL without fragment; null for blank, data: and hostless ones. Paths from the root and of no scheme are
     joined to the base; `..` is left to the HTML reader."""
-    url = strip(url)
+    url = none_if_empty(strip(url))
     if base is not None:
         site = F.concat(part(base, 1), part(base, 3))
         folder = F.regexp_extract(part(base, 5), "^(.*/)", 1)

@@ -12,7 +12,7 @@ WEAK_MARKERS = ("challenge-platform", "g-recaptcha", "hcaptcha", "captcha", "aut
 BLOCK_WORDS = ("rate limit", "throttl", "too many", "captcha", "forbidden", "unauthenticated")
 MARKED_CHARACTERS, SMALL_BODY = 60_000, 20_000
 #: Reason of a stop and the exit code that tells it.
-EXIT_CODES = {"completed": 0, "limit": 0, "stopped": 0, "error": 1, "blocked": 3, "connection_failure": 1, "interrupted": 130}
+EXIT_CODES = {"completed": 0, "limit_reached": 0, "error": 1, "blocked": 3, "connection_failure": 1, "interrupted": 130}
 
 
 def _any(text: Column, words: tuple[str, ...]) -> Column:
@@ -52,7 +52,8 @@ def outcome(status: Column, headers: Column, body: Column, error: Column, json:
 
 def retry_after(value: Column) -> Column:
     """Seconds of a Retry-After header, 0 at least; null for dates and other text."""
-    return F.greatest(F.lit(0.0), value.try_cast("double"))
+    seconds = value.try_cast("double")
+    return F.when(seconds < 0, 0.0).otherwise(seconds)
 
 
 def backoff(asked: Column, attempt: Column, base: float = 5.0, cap: float = 300.0) -> Column:
