@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.durable import durable
+from tidemark.session import ship
 
 
 def _forest(batches):
@@ -40,6 +41,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
     with the logarithm of the longest path. A node's neighbours are never gathered: every step is a minimum for each
     node and a join, and the minimum is combined before it moves. Null ends and links of a node to itself say nothing.
     """
+    ship(links.sparkSession)
     ends = links.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v")
     now = durable(ends.mapInArrow(_forest, "u long, v long").where("u <> v").distinct())
     state = None
