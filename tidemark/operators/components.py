@@ -10,6 +10,10 @@ from tidemark.operators.durable import durable
 from tidemark.session import ship
 
 
+#: Links of forests that one task may join: some tens of megabytes.
+ONE_TASK = 500_000
+
+
 def _forest(batches):
     """The links of a task as links from each node to the smallest of its piece."""
     root: dict[int, int] = {}
@@ -33,7 +37,7 @@ def _forest(batches):
         yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(map(find, part), pa.int64(), size=len(part))], names=["u", "v"])
 
 
-def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, one_task: int = ONE_TASK) -> DataFrame:
     """node and component (the smallest node that it reaches) of every node of a link; numbers that no link holds are absent.
 
     Tasks first shrink their own links to forests. Then large-star and small-star steps alternate (each node's larger
@@ -45,6 +49,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
     ends = links.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v")
     now = durable(ends.mapInArrow(_forest, "u long, v long").where("u <> v").distinct())
     state = None
+    if now.limit(one_task + 1).count() <= one_task:
+        now, rounds = durable(now.coalesce(1).mapInArrow(_forest, "u long, v long")), 0
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -57,5 +63,6 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
         if state == old or not state[0]:
             break
     else:
-        raise RuntimeError("the components did not settle")
+        if rounds:
+            raise RuntimeError("the components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
