@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tidemark.operators.durable import durable, shared_dir
+from tidemark.session import ship
+
+__all__ = ["durable", "shared_dir"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The bytes 0x20 and 0x09 to 0x0D, which part words.
@@ -25,26 +33,6 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where it is unset, a temporary one is set, in local mode only."""
-    sc = spark.sparkContext
-    if folder := sc.getConf().get("spark.checkpoint.dir"):
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(folder)
-        return folder
-    if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return sc.getCheckpointDir()
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """The same rows, cut from their lineage by a checkpoint in the shared folder; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 class Scratch:
     """Parquet tables in the shared folder for one operator's run, for what is too large for row-wise checkpoints."""
 
@@ -69,6 +57,48 @@ def small_side(df: DataFrame, limit_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(limit_rows + 1).count() <= limit_rows else df
 
 
+# -- Python on the executors
+
+#: Rows of an Arrow batch: whole texts, so a batch of Spark's default of 10,000 rows would hold tens of megabytes at both ends.
+BATCH_ROWS = 1000
+_RESIDENT: dict[tuple, object] = {}
+
+
+def resident(key: tuple, make: Callable):
+    """What a worker process keeps from one task to the next: one model, until another kind of work needs the memory."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def trim() -> None:
+    """Give free memory back to the system: workers live on between tasks, beside other workers of the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def mapped(df: DataFrame, run: Callable, schema: str | StructType, keeps: bool = False) -> DataFrame:
+    """df.mapInArrow in tasks that hold small batches and leave no memory behind. keeps: run uses the resident model."""
+    ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def lean(batches):
+        if not keeps and _RESIDENT:
+            _RESIDENT.clear()
+            trim()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return df.mapInArrow(lean, schema)
+
+
 # -- hashing of words, for whole Arrow batches at once ------------------------------------------------
 
 MASK = (1 << 64) - 1
@@ -78,7 +108,7 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACE)] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that are hashed at once, which bounds the memory of a task whatever the texts' lengths add up to.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -137,11 +167,11 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(got)
 
 
-def blocks(ids: list, texts: list) -> list[tuple[list, list[bytes]]]:
+def blocks(ids: list, texts: list[bytes | None]) -> list[tuple[list, list[bytes]]]:
     """Rows in blocks of about BLOCK_BYTES of text; null texts are empty."""
     out, mine, own, size = [], [], [], 0
     for i, text in zip(ids, texts, strict=True):
-        data = b"" if text is None else text.encode()
+        data = text or b""
         if own and size + len(data) > BLOCK_BYTES:
             out.append((mine, own))
             mine, own, size = [], [], 0
@@ -158,7 +188,7 @@ def text_blocks(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
-            yield from blocks(part.column(0).to_pylist(), part.column(1).to_pylist())
+            yield from blocks(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist())
 
 
 def signed(x: np.ndarray) -> np.ndarray:

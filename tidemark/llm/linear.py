@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import MASK, _FOLD, _IS_SPACE, _STEP, _byte_codes, _powers, mix, text_blocks
+from tidemark.llm.common import MASK, _FOLD, _IS_SPACE, _STEP, _byte_codes, _powers, mapped, mix, text_blocks
 
 #: Hashed features.
 BITS = 18
@@ -99,7 +99,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
                 seen += len(ids)
 
     source = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y")
-    rows = sorted((r.doc_id, r.y, bytes(r.x), r.z is not None, bytes(r.z or b"")) for r in source.mapInArrow(run, "doc_id long, y int, x binary, z binary").collect())
+    rows = sorted((r.doc_id, r.y, bytes(r.x), r.z is not None, bytes(r.z or b"")) for r in mapped(source, run, "doc_id long, y int, x binary, z binary").collect())
     numbers = lambda data: np.frombuffer(data, np.int32).astype(np.int64)
     return [numbers(r[2]) for r in rows], np.array([r[1] for r in rows], np.int64), [numbers(r[4]) if r[3] else None for r in rows]
 
@@ -130,5 +130,5 @@ def scored(docs: DataFrame, margin, held_out: Column, cut: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(margin(texts), pa.float64())], names=["doc_id", "score"])
 
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    out = source.mapInArrow(run, "doc_id long, score double")
+    out = mapped(source, run, "doc_id long, score double")
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

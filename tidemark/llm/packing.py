@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import gathered, word_bpe
+from tidemark.llm.common import mapped
 
 #: Window lengths, shortest first, the id that ends a document, and the windows' tokens in a step group.
 TIERS, END, GROUP_TOKENS = (256, 512, 1024, 2048), 1, 64 * 2048
@@ -151,7 +152,7 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*found, strict=True), COLUMNS, strict=True)], names=[n for n, _ in COLUMNS])
 
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    return source.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, window long, step_group long")
+    return mapped(source, run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, window long, step_group long", keeps=True)
 
 
 def packed_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import linear
+from tidemark.llm.common import mapped
 
 #: The score from which on a text counts as good, the labelled texts of each class that are used at most, and the fold held out.
 CUT, ROWS_PER_CLASS, PARTS, FOLD = 0.7, 2000, 4, 2
@@ -60,7 +61,7 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, smooth: float = 1.0)
     return np.log(counts[1] / totals[1]) - np.log(counts[0] / totals[0])
 
 
-def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: float = 1.0, rounds: int = 15, seed: int = 7) -> tuple[np.ndarray, float]:
+def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: float = 1.0, rounds: int = 15, seed: int = 7, tolerance: float = 1e-3) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the squared hinge loss with an L2 penalty; the shift is a constant feature of value 1."""
     w, shift = np.zeros(linear.SIZE), 0.0
     sign = np.where(y == 1, 1.0, -1.0)
@@ -78,7 +79,7 @@ def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cos
                 w[x] += step * sign[i] * v
                 shift += step * sign[i]
                 largest = max(largest, abs(step))
-        if largest < 1e-3:
+        if largest < tolerance:
             break
     return w, shift
 
@@ -149,5 +150,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(good, pa.bool_())], names=[*part.schema.names, mark])
 
     schema = docs.schema
-    out = docs.mapInArrow(judge, type(schema)([*schema.fields]).add(mark, "boolean"))
+    out = mapped(docs, judge, type(schema)([*schema.fields]).add(mark, "boolean"))
     return out.where(F.col(mark)).drop(mark)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, small_side, text_blocks
+from tidemark.llm.common import durable, mapped, small_side, text_blocks
 
 SYMBOLS = b"#*$%&|<>"
 #: Words in a window of the repeat rule; the fixed base rules: fewest words, and most words in repeated windows in a hundred.
@@ -71,7 +71,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], docs["lang"], docs["source"])
-    return source.mapInArrow(run, "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long")
+    return mapped(source, run, "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long")
 
 
 def rates() -> dict[str, Column]:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.bpe import gathered
+from tidemark.llm.common import mapped, resident
 
 #: Pre-tokens that are remembered between runs, and pre-tokens that the library encodes at once.
 CACHE_TOKENS, AT_ONCE = 400_000, 20_000
@@ -62,9 +62,9 @@ class PieceCounter:
         return [sum(map(self.counts.__getitem__, self.parted(text))) for text in texts]
 
 
-@lru_cache(maxsize=2)
 def piece_counter(path: str) -> PieceCounter:
-    return PieceCounter(path)
+    """One vocabulary for each worker process."""
+    return resident(("pieces", path), lambda: PieceCounter(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
@@ -83,4 +83,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
             )
 
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    return source.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return mapped(source, run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean", keeps=True)
