@@ -6,17 +6,17 @@ pre-tokeniser and special tokens. Nothing is trained here.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import blocks
+from tidemark.llm.common import blocks, mapped, resident
 
 #: Words of ASCII, after lower-casing, as the vocabulary's pre-tokeniser parts them.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
@@ -24,11 +24,11 @@ ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", r
 LATIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ɏ]+")
 LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^\sa-z0-9À-ÖØ-öø-ɏ]+", re.ASCII)
 #: Chunks that are remembered between the blocks of a worker process, and chunks that go through the index at once.
-CACHE_CHUNKS, INDEX_CHUNKS = 400_000, 200_000
+CACHE_CHUNKS, INDEX_CHUNKS = 500_000, 100_000
 #: Positions of a pair from which on they are merged by array operations.
 LONG_LIST = 48
 #: Bytes of text whose distinct chunks are gathered at once.
-GATHER_BYTES = 16 << 20
+GATHER_BYTES = 8 << 20
 
 
 def byte_characters() -> list[str]:
@@ -82,6 +82,8 @@ class WordBpe:
         """The words (as bytes) and special tokens (as ids) of a chunk of text without ASCII white space."""
         if chunk.isalpha():  # letters of ASCII alone
             return [chunk.lower()]
+        if chunk[:-1].isalpha() and chunk[-1] < 128:  # and one other sign
+            return [chunk[:-1].lower(), chunk[-1:]]
         text = chunk.decode()
         if not self.special_at.search(text):
             return self._plain(text)
@@ -95,6 +97,8 @@ class WordBpe:
         if text.isascii():
             return [w.encode() for w in ASCII_WORDS.findall(text.lower())]
         if LATIN.fullmatch(text):
+            if text.isalpha():
+                return [text.lower().encode()]
             return [w.encode() for w in LATIN_WORDS.findall(text.lower())]
         parted = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes(self.byte_of[c] for c in piece) for piece, _ in parted]
@@ -152,8 +156,8 @@ class WordBpe:
             left, right, made = merges[r]
             positions = where.pop(r)
             if len(positions) >= LONG_LIST and left != right:
-                i = np.unique(np.array(positions))
-                i = i[row[i] == left]
+                i = np.sort(np.array(positions))
+                i = i[(row[i] == left) & (np.diff(i, prepend=-1) > 0)]
                 i = i[row[after[i]] == right]
                 j = after[i]
                 k = after[j]
@@ -200,7 +204,10 @@ class WordBpe:
             known = {w: i for i, w in enumerate(dict.fromkeys(w for words in parted for w in words if isinstance(w, bytes)))}
             ids = self.merge(list(known)) if known else []
             for chunk, words in zip(part, parted, strict=True):
-                self.cache[chunk] = b"".join(ids[known[w]] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in words)
+                if len(words) == 1 and isinstance(words[0], bytes):
+                    self.cache[chunk] = ids[known[words[0]]]
+                else:
+                    self.cache[chunk] = b"".join(ids[known[w]] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in words)
 
     def learn_by_library(self, chunks: set[bytes]) -> None:
         """The same by the tokenizers library."""
@@ -209,8 +216,8 @@ class WordBpe:
                 self.cache[chunk] = np.array(got.ids, np.uint32).tobytes()
 
     def _unknown(self, chunks: set[bytes], at_once: int = INDEX_CHUNKS):
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
+        if len(self.cache) > CACHE_CHUNKS:  # what these texts hold too is frequent enough to stay
+            self.cache = {c: self.cache[c] for c in chunks if c in self.cache}
         new = [c for c in chunks if c not in self.cache]
         return [new[i : i + at_once] for i in range(0, len(new), at_once)]
 
@@ -221,8 +228,14 @@ class WordBpe:
         space into one space, which the pre-tokeniser drops; no canonical composition reaches across a space; and special
         tokens hold no white space.
         """
-        learn = learn or self.learn
-        learn({c for t in texts for c in t.split()})
+        seen: set[bytes] = set()
+        for text in texts:
+            seen.update(text.split())
+        gc.disable()  # what follows makes many small objects and no cycles
+        try:
+            (learn or self.learn)(seen)
+        finally:
+            gc.enable()
         known = self.cache.__getitem__
         for text in texts:
             yield b"".join(map(known, text.split()))
@@ -233,10 +246,9 @@ class WordBpe:
         return b" ".join([strings[i] for i in np.frombuffer(ids, np.uint32).tolist()])
 
 
-@lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBpe:
     """One vocabulary for each worker process."""
-    return WordBpe(path)
+    return resident(("words", path), lambda: WordBpe(path))
 
 
 def gathered(batches, limit: int = GATHER_BYTES):
@@ -245,7 +257,7 @@ def gathered(batches, limit: int = GATHER_BYTES):
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            for mine, own in blocks(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for mine, own in blocks(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
                 ids += mine
                 texts += own
                 size += sum(map(len, own))
@@ -287,4 +299,4 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False) -> DataFr
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
 
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    return source.mapInArrow(run, "doc_id long, n_tokens long, ids binary" + ", decoded string" * decode)
+    return mapped(source, run, "doc_id long, n_tokens long, ids binary" + ", decoded string" * decode, keeps=True)
