@@ -96,6 +96,11 @@ def done_key(slug: Column) -> Column:
     return F.concat(F.lit("done:"), slug)
 
 
+def state_value(state: DataFrame, key: str, default: str | None = None) -> DataFrame:
+    """One row: the value that a key holds, the default if it was never set."""
+    return latest(state.where(F.col("key") == key), "key").agg(F.coalesce(F.max("value"), F.lit(default).cast("string")).alias("value"))
+
+
 def category_progress(state: DataFrame, slugs: DataFrame) -> DataFrame:
     """slug, pos, done and next_page (1 by default) of every category of slugs (slug, pos)."""
     values = latest(state, "key").select("key", "value")

@@ -137,3 +137,9 @@ def latest(rows: DataFrame, key: str, order: str = "seq") -> DataFrame:
 
 def delete_keys(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return table.join(keys.select(key).distinct(), key, "left_anti")
+
+
+def page_counters(found: DataFrame, added: DataFrame, page: str = "page", order: str = "seq") -> DataFrame:
+    """Of each page: how many rows it listed and how many of them were new."""
+    new = added.select(F.col(order).alias("_added")).distinct()
+    return found.join(new, found[order] == new["_added"], "left").groupBy(page).agg(F.count(F.lit(1)).alias("found"), F.count("_added").alias("new"))

@@ -355,6 +355,24 @@ def insert_if_absent(t):
     return store.insert_if_absent(table, rows).select("seq", "url")
 
 
+@query("""
+    WITH o AS (SELECT o_orderkey, o_orderkey // 48 AS page, o_custkey % 2 = 1 AND row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1 AS new FROM orders)
+    SELECT page, count(*) AS found, count(*) FILTER (new) AS new FROM o GROUP BY page
+""")
+def page_counters(t):
+    """Orders as pages of 48, whose customers are new unless they were listed before or are even."""
+    key = lambda c: F.concat(F.lit("c"), F.col(c).cast("string"))
+    table = t("customer").where("c_custkey % 2 = 0").select(key("c_custkey").alias("url"), F.col("c_custkey").alias("external_id"))
+    rows = t("orders").select(F.col("o_orderkey").alias("seq"), F.floor(F.col("o_orderkey") / 48).alias("page"), key("o_custkey").alias("url"), F.col("o_custkey").alias("external_id"))
+    return store.page_counters(rows, store.insert_if_absent(table, rows))
+
+
+@query("SELECT coalesce(max('v' || event_id) FILTER (event_id = m), 'none') AS value FROM events, (SELECT max(event_id) AS m FROM events WHERE user_id = 7) WHERE user_id = 7")
+def state_lookup(t):
+    state = t("events").select(F.concat(F.lit("k"), F.col("user_id").cast("string")).alias("key"), F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("value"), F.col("event_id").alias("seq"))
+    return queue.state_value(state, "k7", "none")
+
+
 @query("""
     SELECT c_custkey, coalesce(a.s_suppkey, b.s_suppkey) AS stored_id FROM customer LEFT JOIN supplier a ON c_custkey = a.s_suppkey
     LEFT JOIN (SELECT s_nationkey, min(s_suppkey) AS s_suppkey FROM supplier GROUP BY 1) b ON c_nationkey = b.s_nationkey
