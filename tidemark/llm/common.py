@@ -108,7 +108,7 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACE)] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that are hashed at once, which bounds the memory of a task whatever the texts' lengths add up to.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:

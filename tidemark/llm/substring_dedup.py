@@ -10,14 +10,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, lists, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
-from tidemark.llm.components import connected_components
+from tidemark.llm.common import durable, lists, mapped, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
+from tidemark.operators.components import connected_components
 
 #: Words of a paragraph, and starts of which one is chosen: every passage of LENGTH + CHOICE - 1 = 50 words holds a paragraph.
 LENGTH, CHOICE = 24, 27
 #: Words of a shingle, the least similarity in percent, and the recall that the bands are tuned for.
 SHINGLE, PERCENT, RECALL = 5, 80, 0.95
-BROADCAST_ROWS = 200_000
+#: Rows of two hashes that may be broadcast: some tens of megabytes.
+BROADCAST_ROWS = 1_000_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -108,15 +109,27 @@ def _in_batches(rows, make, size: int = 20_000):
         yield make(held)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """64 bits for each paragraph, one set for every shingle. Sets that differ in d members have bitmaps that differ in d bits at most."""
+    return np.bitwise_or.reduce(np.uint64(1) << (shingles >> np.uint64(58)), axis=1) if len(shingles) else np.zeros(0, np.uint64)
+
+
 def paragraph_bands(docs: DataFrame) -> DataFrame:
-    names = [f"b{i}" for i in range(BANDS)]
+    """A row for each band of each content that a task meets in a large run of its texts: band, content, bits, low (the smallest
+    doc_id) and shared (whether another doc_id has it too). Copies are combined before anything moves."""
 
     def make(held):
-        ids = np.concatenate([np.full(len(at), i, np.int64) for i, _, at, _, _ in held])
+        ids = np.concatenate([np.full(len(h[2]), h[0], np.int64) for h in held])
         content, shingles = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(signed(content)), *[pa.array(signed(k)) for k in band_keys(shingles)]], names=["doc_id", "content", *names])
+        order = np.lexsort((ids, content))
+        ids, content = ids[order], content[order]
+        first = np.flatnonzero(np.append(True, content[1:] != content[:-1]))
+        low, high = ids[first], ids[np.append(first[1:], len(ids)) - 1]
+        shingles = shingles[order[first]]
+        columns = [signed(content[first]), signed(bitmap(shingles)), low, low != high]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([signed(k) for k in band_keys(shingles)])), *[pa.array(np.tile(c, BANDS)) for c in columns]], names=["band", "content", "bits", "low", "shared"])
 
-    return _plain(docs).mapInArrow(lambda batches: _in_batches(_parted(batches), make), "doc_id long, content long, " + ", ".join(f"{n} long" for n in names))
+    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make, 100_000), "band long, content long, bits long, low long, shared boolean")
 
 
 def paragraph_places(docs: DataFrame) -> DataFrame:
@@ -124,7 +137,7 @@ def paragraph_places(docs: DataFrame) -> DataFrame:
         ids, marks = (np.concatenate([np.full(len(h[2]), f(h), np.int64) for h in held]) for f in (lambda h: h[0], lambda h: text_mark(h[1])))
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks), pa.array(np.concatenate([h[2] for h in held]).astype(np.int32)), pa.array(signed(np.concatenate([h[3] for h in held])))], names=["doc_id", "mark", "start", "content"])
 
-    return _plain(docs).mapInArrow(lambda batches: _in_batches(_parted(batches), make), "doc_id long, mark long, start int, content long")
+    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make), "doc_id long, mark long, start int, content long")
 
 
 def paragraph_shingles(docs: DataFrame) -> DataFrame:
@@ -133,7 +146,7 @@ def paragraph_shingles(docs: DataFrame) -> DataFrame:
         _, first = np.unique(content, return_index=True)
         return pa.RecordBatch.from_arrays([pa.array(signed(content[first])), lists([signed(r) for r in rows[first]], pa.int64())], names=["content", "members"])
 
-    return _plain(docs).mapInArrow(lambda batches: _in_batches(_parted(batches), make), "content long, members array<long>")
+    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make), "content long, members array<long>")
 
 
 def text_mark(text: bytes) -> int:
@@ -141,15 +154,21 @@ def text_mark(text: bytes) -> int:
 
 
 def band_links(docs: DataFrame) -> DataFrame:
-    """Pairs of paragraph contents that meet in a band (each with the one before it and the first of its band), and a pair of a
-    content with itself where several documents hold it. Copies of a content are combined before they move."""
-    contents = paragraph_bands(docs).groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)])
-    rows = contents.select("content", "low", "high", F.explode(F.array(*[F.col(f"b{i}") for i in range(BANDS)], F.when(F.col("low") != F.col("high"), F.lit(None).cast("long")).otherwise(F.lit(0).cast("long")))).alias("band"))
-    rows = rows.where("band is null or band <> 0").withColumn("alone", F.when(F.col("band").isNull(), F.col("content")))
-    own = Window.partitionBy("band", "alone").orderBy("content")
-    near = rows.withColumn("last", F.lag("content").over(own)).withColumn("first", F.first("content").over(own))
-    near = near.select("content", "low", F.explode(F.when(F.col("band").isNull(), F.array("content")).otherwise(F.array_distinct(F.array_compact(F.array("last", F.when(F.col("first") != F.col("content"), F.col("first"))))))).alias("other"))
-    return near.select(F.least("content", "other").alias("a"), F.greatest("content", "other").alias("b"), F.when(F.col("content") == F.col("other"), F.col("low")).alias("low")).distinct()
+    """Pairs of paragraph contents that meet in a band (each with the one before it and the first of its band) unless their bitmaps
+    rule the similarity out, and a pair of a content with itself where several documents hold it.
+
+    Contents whose smallest doc_id is the same are no pair: neither could make the other go, and neighbouring paragraphs of one
+    text are alike all the time. Two sets of at most 20 shingles with a Jaccard similarity of 0.8 have a union of 25 at most and differ in 5 members at most.
+    """
+    differ = int((LENGTH - SHINGLE + 1) * 100 / PERCENT * (100 - PERCENT) / 100 + 1e-9)
+    own = Window.partitionBy("band").orderBy("content", "low")
+    rows = paragraph_bands(docs).withColumn("before", F.lag(F.struct("content", "bits", "low")).over(own)).withColumn("top", F.first(F.struct("content", "bits", "low")).over(own))
+    before, top, content, bits = F.col("before"), F.col("top"), F.col("content"), F.col("bits")
+    near = lambda o: (o["content"] != content) & (o["low"] != F.col("low")) & (F.bit_count(o["bits"].bitwiseXOR(bits)) <= differ)
+    held = F.col("shared") | F.coalesce((before["content"] == content) & (before["low"] != F.col("low")), F.lit(False))
+    others = F.array(F.when(held, content), F.when(near(before), before["content"]), F.when(near(top), top["content"]))
+    links = rows.select("content", F.explode(F.array_distinct(F.array_compact(others))).alias("other"))
+    return links.select(F.least("content", "other").alias("a"), F.greatest("content", "other").alias("b")).distinct()
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -161,6 +180,65 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.where((100 + PERCENT) * shared >= PERCENT * (F.size("x") + F.size("y"))).select("a", "b")
 
 
+def agreement(a: np.ndarray, b: np.ndarray, start: int, end: int) -> tuple[int, int]:
+    """The span of a's words from start to end, as far beyond both ends as b's words agree. b is aligned at each place where it has
+    the first (for the left end) or last (for the right end) shingle of the span; the longest agreement counts."""
+
+    def run(x: np.ndarray, y: np.ndarray) -> int:
+        n = min(len(x), len(y))
+        same = x[:n] == y[:n]
+        return n if same.all() else int(same.argmin())
+
+    ours, theirs = shingle_hashes(a, SHINGLE), shingle_hashes(b, SHINGLE)
+    left = max((run(a[:start][::-1], b[:k][::-1]) for k in np.flatnonzero(theirs == ours[start])), default=0)
+    right = max((run(a[end:], b[k + SHINGLE :]) for k in np.flatnonzero(theirs == ours[end - SHINGLE])), default=0)
+    return start - left, end + right
+
+
+def merged(spans: list[tuple]) -> list[tuple]:
+    """Sorted spans (start, end, component, keeper), those that overlap or touch as one with the first's component and keeper."""
+    out: list[tuple] = []
+    for s in sorted(spans):
+        if out and s[0] <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], s[1]), *out[-1][2:])
+        else:
+            out.append(s)
+    return out
+
+
+def _spans(rows) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "mark", "start", "end", "component_id", "keep_id"])
+
+
+SPANS = "doc_id long, mark long, start long, end long, component_id long, keep_id long"
+
+
+def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Repeated paragraphs (doc_id, mark, start, component_id, keep_id) as spans that reach as far as the text agrees with its keeper's.
+    Only the texts of these documents and their keepers move."""
+    each = durable(found.groupBy("doc_id", "mark", "keep_id").agg(F.collect_set(F.struct("start", "component_id")).alias("found")))
+    wanted = durable(each.select(F.col("doc_id").alias("id")).unionByName(each.select(F.col("keep_id").alias("id"))).distinct())
+    texts = _plain(docs).join(small_side(wanted, BROADCAST_ROWS), F.col("doc_id") == F.col("id"), "left_semi")
+    both = each.join(texts.withColumnRenamed("text", "own"), "doc_id").join(texts.select(F.col("doc_id").alias("keep_id"), F.col("text").alias("kept")), "keep_id")
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                out = []
+                columns = [part.column(i).cast(pa.binary()).to_pylist() if i > 3 else part.column(i).to_pylist() for i in range(6)]
+                for doc, mark, keep, places, own, kept in zip(*columns, strict=True):
+                    if own is None or kept is None or text_mark(own) != mark:
+                        continue
+                    a, b = word_hashes([own])[0], word_hashes([kept])[0]
+                    for start, end, component in merged([(p["start"], p["start"] + LENGTH, p["component_id"]) for p in places]):
+                        out.append((doc, mark, *agreement(a, b, start, end), component, keep))
+                yield _spans(out)
+
+    return mapped(both.select("doc_id", "mark", "keep_id", "found", "own", "kept"), run, SPANS)
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """What to remove so that each passage that repeats across documents stays in one.
 
@@ -168,10 +246,11 @@ def removals(docs: DataFrame) -> DataFrame:
     passage of 50 words or more holds paragraphs that come out alike in each of its copies, wherever it stands. Equal
     paragraphs are one content. Contents meet in MinHash bands tuned for the recall; the pairs are verified by the exact
     Jaccard similarity (0.8) of their five-word shingles; links make components. Of a component's paragraphs, those of
-    its smallest doc_id stay; all others go. Repeats inside one document stay.
+    its smallest doc_id stay; all others go, with the words around them as far as these agree with the text that stays.
+    Repeats inside one document stay.
 
-    Returns doc_id, mark (a hash that tells texts of one doc_id apart), start and length (in words, merged where paragraphs
-    overlap or touch), component_id (a paragraph content of the first component), keep_id (the doc_id that keeps it). Texts
+    Returns doc_id, mark (a hash that tells texts of one doc_id apart), start and length (in words; spans that overlap or
+    touch are one), component_id (a paragraph content of the first component), keep_id (the doc_id that keeps it). Texts
     of under 24 words, null texts and rows with a null doc_id have no paragraphs. Repeated doc_ids: the rows are one
     document, none is held against another. Only doc_id and text are read.
     """
@@ -184,24 +263,17 @@ def removals(docs: DataFrame) -> DataFrame:
     places = durable(paragraph_places(docs).join(small_side(marked, BROADCAST_ROWS), "content"))
     keep = durable(places.groupBy("component_id").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("last_id")).where("keep_id <> last_id"))
     gone = places.join(small_side(keep.drop("last_id"), BROADCAST_ROWS), "component_id").where("doc_id <> keep_id")
+    whole = extended(docs, gone.select("doc_id", "mark", "start", "component_id", "keep_id"))
 
     def merge(batches):
         for batch in batches:
             out = []
             for doc, mark, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                spans = []
-                for p in sorted((p["start"], p["component_id"], p["keep_id"]) for p in found):
-                    if spans and p[0] <= spans[-1][3] + spans[-1][2]:
-                        spans[-1][2] = max(spans[-1][2], p[0] + LENGTH - spans[-1][3])
-                    else:
-                        spans.append([doc, mark, LENGTH, p[0], p[1], p[2]])
-                out += spans
-            columns = list(zip(*out, strict=True)) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "mark", "length", "start", "component_id", "keep_id"])
+                out += [(doc, mark, *s) for s in merged([(p["start"], p["end"], p["component_id"], p["keep_id"]) for p in found])]
+            yield _spans(out)
 
-    grouped = gone.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "component_id", "keep_id")).alias("found"))
-    merged = grouped.mapInArrow(merge, "doc_id long, mark long, length long, start long, component_id long, keep_id long")
-    return durable(merged.select("doc_id", "mark", "start", "length", "component_id", "keep_id"))
+    grouped = whole.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "end", "component_id", "keep_id")).alias("found"))
+    return durable(mapped(grouped, merge, SPANS).select("doc_id", "mark", "start", (F.col("end") - F.col("start")).alias("length"), "component_id", "keep_id"))
 
 
 def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -239,7 +311,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     others = [f"c{i}" for i in range(len(names)) if f"c{i}" != text]
     fields = {f.name: f.dataType.simpleString() for f in taken.schema.fields}
-    done = joined.select(text, "marks", *others).mapInArrow(run, ", ".join(f"{c} {fields[c]}" for c in (text, *others)))
+    done = mapped(joined.select(text, "marks", *others), run, ", ".join(f"{c} {fields[c]}" for c in (text, *others)))
     count = [i for i, n in enumerate(names) if n.lower() == "n_chars"]
     new = {f"c{i}": F.coalesce(F.length(text), F.lit(0)).cast(fields[f"c{i}"]) for i in count}
     return done.select(*[new.get(f"c{i}", F.col(f"c{i}")).alias(n) for i, n in enumerate(names)])
