@@ -35,8 +35,9 @@ def completeness(listings: DataFrame) -> DataFrame:
 
 
 def quality_report(listings: DataFrame, state: DataFrame) -> DataFrame:
-    """completeness beside duplicates, failed, pending and discovered of the queue: two rows side by side, in one."""
-    return completeness(listings).join(F.broadcast(counts(state).select("duplicates", "failed", "pending", "discovered")), F.lit(True), "inner")
+    """completeness beside duplicates, failed, pending and discovered of the queue: its single row of counts comes first."""
+    row = counts(state).select("duplicates", "failed", "pending", "discovered").first().asDict()
+    return completeness(listings).withColumns({name: F.lit(n).cast("bigint") for name, n in row.items()})
 
 
 def summary(report: DataFrame) -> DataFrame:
