@@ -119,9 +119,10 @@ def thresholds(rows: DataFrame) -> DataFrame:
         levels.append(wide)
     groups, langs, everyone = levels
     langs = langs.select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), F.col("fences").alias("l_fences"))
-    top = F.broadcast(everyone.select(F.col("fences").alias("a_fences")).limit(1))
-    joined = groups.join(small_side(langs, 10_000), F.col("lang").eqNullSafe(F.col("l_lang")), "left").join(top, F.lit(True), "left")
-    chosen = F.when(F.col("n") >= LEAST_GROUP, F.col("fences")).when(F.col("l_n") >= LEAST_GROUP, F.col("l_fences")).otherwise(F.col("a_fences"))
+    top = everyone.first()  # one fence for each rate
+    of_all = F.create_map(*[F.lit(x) for rate, fence in sorted((top["fences"] if top else {}).items()) for x in (rate, fence)]).cast("map<int,double>")
+    joined = groups.join(small_side(langs, 10_000), F.col("lang").eqNullSafe(F.col("l_lang")), "left")
+    chosen = F.when(F.col("n") >= LEAST_GROUP, F.col("fences")).when(F.col("l_n") >= LEAST_GROUP, F.col("l_fences")).otherwise(of_all)
     return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), chosen.alias("fences"))
 
 
