@@ -68,7 +68,54 @@ QUERIES = {
     "op10_url_filters": op10_url_filters,
 }
 
+#: The words of each text, which `text` gives.
+WORDS = """w AS (SELECT doc_id, list_filter(regexp_split_to_array({text}, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS words FROM documents)"""
+FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+GAMMA = (1 + quality_rules.ALPHA) / (1 - quality_rules.ALPHA)
+
+
+def _fence(rate: str) -> str:
+    """SQL of a rate's upper fence from its sketched quartiles."""
+    value = lambda b: f"CASE WHEN {b} = 0 THEN 0.0 ELSE 2 * pow({GAMMA!r}, {b} - 1) / ({GAMMA!r} + 1) END"
+    return f"{value('high')} + {quality_rules.SPREAD} * ({value('high')} - {value('low')}) + CASE {rate} " + " ".join(f"WHEN '{n}' THEN {x}" for n, x in quality_rules.SLACK.items()) + " END"
+
+
+def _level(name: str, by: str) -> str:
+    return f"""{name} AS (SELECT {by} rate, max(total) AS n, min(bucket) FILTER (upto >= ceil(total * 0.25)) AS low, min(bucket) FILTER (upto >= ceil(total * 0.75)) AS high
+        FROM (SELECT *, sum(c) OVER (PARTITION BY {by} rate ORDER BY bucket) AS upto, sum(c) OVER (PARTITION BY {by} rate) AS total FROM (SELECT {by} rate, bucket, count(*) AS c FROM b GROUP BY ALL)) GROUP BY {by} rate)"""
+
+
 ORACLE_SQL = {
+    "op4_quality_rules": f"""
+        WITH {WORDS.format(text="coalesce(text, '')")},
+        p AS (SELECT doc_id, words, unnest(generate_series(1, len(words) - 7)) AS place FROM w WHERE len(words) >= 8),
+        v AS (SELECT doc_id, place, count(*) OVER (PARTITION BY doc_id, array_to_string(words[place : place + 7], ' ')) AS c FROM p),
+        r AS (SELECT doc_id, count(DISTINCT place + j) AS n FROM v, generate_series(0, 7) AS g(j) WHERE c > 1 GROUP BY doc_id),
+        l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, count(*) AS n FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) WHERE regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]') GROUP BY doc_id),
+        m AS (SELECT d.doc_id, d.lang, d.source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS n_lines
+            FROM documents d JOIN w USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
+        x AS (UNPIVOT (SELECT doc_id, lang, source, n_symbols * 1000 // greatest(n_words, 1) AS symbol_rate, n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_rate,
+                n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_rate, word_chars * 1000 // greatest(n_words, 1) AS word_size FROM m) ON symbol_rate, dup_rate, repeat_rate, word_size INTO NAME rate VALUE value),
+        b AS (SELECT *, CASE WHEN value < 1 THEN 0 ELSE 1 + ceil(ln(value) / ln({GAMMA!r})) END AS bucket FROM x),
+        {_level("g", "lang, source,")}, {_level("h", "lang,")}, {_level("a", "")},
+        f AS (SELECT x.doc_id, bool_or(x.value > CASE WHEN g.n >= {quality_rules.LEAST_GROUP} THEN g.fence WHEN h.n >= {quality_rules.LEAST_GROUP} THEN h.fence ELSE a.fence END) AS above FROM x
+            JOIN (SELECT *, {_fence("rate")} AS fence FROM g) g ON x.rate = g.rate AND x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source
+            JOIN (SELECT *, {_fence("rate")} AS fence FROM h) h ON x.rate = h.rate AND x.lang IS NOT DISTINCT FROM h.lang
+            JOIN (SELECT *, {_fence("rate")} AS fence FROM a) a ON x.rate = a.rate GROUP BY x.doc_id)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT above AS kept
+        FROM m JOIN f USING (doc_id)
+    """,
+    "op6_jaccard_join": f"""
+        WITH RECURSIVE {WORDS.format(text=FOLDED)},
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 4 THEN list_transform(generate_series(1, len(words) - 3), lambda i: array_to_string(words[i : i + 3], ' ')) WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL) p
+            JOIN n i ON i.doc_id = p.a JOIN n j ON j.doc_id = p.b WHERE 100 * c >= 85 * (i.n + j.n - c)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM c LEFT JOIN n USING (doc_id)
+    """,
     "op3_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(x) AS text_sha256
