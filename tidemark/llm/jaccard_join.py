@@ -10,13 +10,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, durable, lists, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
-from tidemark.llm.components import connected_components
+from tidemark.llm.common import Scratch, durable, lists, mapped, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
+from tidemark.operators.components import connected_components
 
 #: Frequent shingles that are known by their counts, which orders the inverted lists; a bound on what is broadcast.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 #: Shingles of a task that are counted at once, and the largest set whose subsets may be enumerated.
-COUNTED, LARGEST_SMALL = 4_000_000, 40
+COUNTED, LARGEST_SMALL = 2_000_000, 40
+#: What a turn must lessen the pairs that are left to, for another to follow.
+WORTH = 0.7
+#: Documents before it in a list that a document is tried with at each turn.
+NEAR = 3
+#: Pairs for each posting up to which all that are left are tried, and turns along the lists at most before they are.
+PAIRS_PER_POSTING, TURNS = 4, 6
+#: Cells of the sketch that bounds overlaps: members of a set by their hash.
+CELLS = 128
 #: Ids that may be broadcast.
 BROADCAST_IDS = 200_000
 SALTS = 16
@@ -38,7 +46,8 @@ def _plain(docs: DataFrame) -> DataFrame:
 
 
 def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """The most frequent shingles (sorted) with their counts, and the mean length of the inverted list of a shingle's occurrence.
+    """The most frequent shingles (sorted) with their counts, and the mean length of the inverted list that an occurrence of any other
+    shingle stands in; prefixes hold those first.
 
     Tasks count large runs of their shingles and report those found more than once in a run, so a count is a lower bound. They
     only set the order in which the join looks at shingles: its result doesn't depend on them."""
@@ -64,12 +73,21 @@ def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray,
             yield out(*counted())
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total + size], pa.int64())], names=["token", "n"])
 
-    counts = durable(_plain(docs).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    counts = durable(mapped(_plain(docs), run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
     total, squares = counts.agg(F.sum(F.when(F.col("token").isNull(), F.col("n"))), F.sum(F.when(F.col("token").isNotNull(), F.col("n") * F.col("n")))).first()
-    top = counts.where("token is not null").orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
+    # the lowest step of counts from which on there are few enough; steps of a tenth, so there are some hundreds at most
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.1)))
+    steps, room, least = counts.where("token is not null").groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect(), FREQUENT, None
+    for row in steps:
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["step"]
+    top = counts.where(F.col("token").isNotNull() & ((step >= least) if least is not None else F.lit(False))).toPandas()
     tokens, n = top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     order = np.argsort(tokens)
-    return tokens[order], n[order], 1 + (squares or 0) / max(1, total or 0)
+    rare = float(squares or 0) - float((n.astype(float) ** 2).sum())
+    return tokens[order], n[order], 1 + max(0.0, rare) / max(1, total or 0)
 
 
 def enumerated(n: int, percent: int) -> int:
@@ -98,6 +116,11 @@ def subset_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarra
     return mix(np.concatenate(keys) + np.array(sizes, np.uint64)), np.array(sizes, np.int64)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """How many members of a set fall into each cell: two sets share no more than the smaller number of every cell."""
+    return np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=CELLS).astype(np.uint32).tobytes()
+
+
 def described(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], small: int) -> DataFrame:
     """Of each document: the size of its set, two hashes of the whole set, subset keys if it is small, and unless no large
     set can link with it, the prefix of its shingles (rare ones first) that any link must share one of."""
@@ -124,11 +147,11 @@ def described(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray,
                 else:
                     prefixes.append(none)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64(), size=len(sets)), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists(keys, pa.int64()), lists(sizes, pa.int64()), lists(prefixes, pa.int64())],
-                names=["doc_id", "n", "one", "two", "keys", "sizes", "prefix"],
+                [pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64(), size=len(sets)), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists(keys, pa.int64()), lists(sizes, pa.int64()), lists(prefixes, pa.int64()), pa.array(map(sketch, sets), pa.binary(), size=len(sets))],
+                names=["doc_id", "n", "one", "two", "keys", "sizes", "prefix", "cells"],
             )
 
-    return _plain(docs).mapInArrow(run, "doc_id long, n long, one long, two long, keys array<long>, sizes array<long>, prefix array<long>")
+    return mapped(_plain(docs), run, "doc_id long, n long, one long, two long, keys array<long>, sizes array<long>, prefix array<long>, cells binary")
 
 
 def small_links(reps: DataFrame, percent: int) -> DataFrame:
@@ -146,28 +169,38 @@ def may_link(n, i, m, j, percent: int):
     return (100 + percent) * F.least(n - i, m - j) >= percent * (n + m)
 
 
-def list_links(postings: DataFrame, percent: int, near: int = 3) -> DataFrame:
-    """Candidate links along the inverted lists: each document with the `near` before it by size, and with the list's first."""
-    own = Window.partitionBy("token").orderBy("n", "doc_id")
-    rows = postings
-    others = []
-    for d in range(1, near + 1):
-        rows = rows.withColumn(f"o{d}", F.lag(F.struct("doc_id", "n", "i"), d).over(own))
-        others.append(F.col(f"o{d}"))
-    rows = rows.withColumn("o0", F.first(F.struct("doc_id", "n", "i")).over(own))
-    pairs = rows.select("doc_id", "n", "i", F.explode(F.array_distinct(F.array_compact(F.array(*others, "o0")))).alias("o"))
-    ok = (F.col("o.doc_id") != F.col("doc_id")) & may_link(F.col("n"), F.col("i"), F.col("o.n"), F.col("o.i"), percent)
+def placed(postings: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """Postings with the component of their document so far, the document itself before there are any."""
+    if parts is None:
+        return postings.withColumn("component", F.col("doc_id"))
+    return postings.join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+
+def list_links(rows: DataFrame, percent: int, turn: int, near: int = NEAR) -> DataFrame:
+    """Candidate links between components along the inverted lists, as many as a list is long: each document with the `near` before
+    it (by size at first, in another random order at each turn), and with the one in which the list's shingle stands
+    earliest, which has the fewest rare shingles of its own and so is nearest to the others."""
+    order = [F.col("n"), F.col("doc_id")] if not turn else [F.xxhash64("doc_id", F.lit(turn)), F.col("doc_id")]
+    own, chain, best = Window.partitionBy("token"), Window.partitionBy("token").orderBy(*order), Window.partitionBy("token").orderBy("i", "n", "doc_id")
+    mixed = rows.withColumn("least", F.min("component").over(own)).withColumn("most", F.max("component").over(own)).where("least <> most")
+    one = F.struct("doc_id", "n", "i", "component")
+    mixed = mixed.withColumns({f"o{d}": F.lag(one, d).over(chain) for d in range(1, near + 1)}).withColumn("o0", F.first(one).over(best))
+    pairs = mixed.select("doc_id", "n", "i", "component", F.explode(F.array_distinct(F.array_compact(F.array(*[f"o{d}" for d in range(near + 1)])))).alias("o"))
+    ok = (F.col("o.component") != F.col("component")) & may_link(F.col("n"), F.col("i"), F.col("o.n"), F.col("o.i"), percent)
     return pairs.where(ok).select(F.least("o.doc_id", "doc_id").alias("a"), F.greatest("o.doc_id", "doc_id").alias("b"))
 
 
-def remaining_links(postings: DataFrame, parts: DataFrame, percent: int, near: int = 3) -> DataFrame:
-    """All candidate links between documents of different components so far, from lists too long for list_links to have tried
-    every pair. A list whose documents are all in one component is left out; in the others, those outside the list's
-    largest component are held against all, so a large group that is joined already isn't paired with itself."""
-    placed = postings.join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    sizes = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
-    mixed = sizes.groupBy("token").agg(F.max_by("component", F.struct("c", "component")).alias("largest"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k")).where(f"all > {near + 1} and k > 1")
-    rows = placed.join(mixed.select("token", "largest"), "token")
+def mixed_lists(rows: DataFrame) -> DataFrame:
+    """The lists whose documents are in several components: the largest of these, the documents in it and in all. Short lists, of
+    which the first turn has tried every pair, are left out."""
+    sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
+    return sizes.groupBy("token").agg(F.max_by("component", F.struct("c", "component")).alias("largest"), F.max("c").alias("own"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k")).where(f"k > 1 and all > {NEAR + 1}")
+
+
+def remaining_links(rows: DataFrame, mixed: DataFrame, percent: int) -> DataFrame:
+    """All candidate links that are left between documents of different components. Lists in one component have none; in the
+    others, documents outside the largest component are held against all, so a group that is joined already isn't paired with itself."""
+    rows = rows.join(mixed.select("token", "largest"), "token")
     left = rows.where("component <> largest").alias("l")
     right = rows.drop("largest").alias("r")
     once = (F.col("r.component") == F.col("l.largest")) | (F.col("l.doc_id") < F.col("r.doc_id"))
@@ -176,6 +209,21 @@ def remaining_links(postings: DataFrame, parts: DataFrame, percent: int, near: i
     return pairs.select(F.least("l.doc_id", "r.doc_id").alias("a"), F.greatest("l.doc_id", "r.doc_id").alias("b"))
 
 
+def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches don't rule the similarity out, which leaves few but the true ones to be verified on whole sets."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, CELLS) for c in ("x", "y"))
+            total = batch.column("total").to_numpy()
+            ok = (100 + percent) * np.minimum(a, b).sum(axis=1) >= percent * total
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
+
+    side = lambda key, cells, size: reps.select(F.col("doc_id").alias(key), F.col("cells").alias(cells), F.col("n").alias(size))
+    both = pairs.join(side("a", "x", "m"), "a").join(side("b", "y", "n"), "b").select("a", "b", "x", "y", (F.col("m") + F.col("n")).alias("total"))
+    return mapped(both, run, "a long, b long").distinct()
+
+
 def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """The candidate pairs that have the similarity, by the exact overlap of their sets. pairs: distinct, and cheap to read."""
     wanted = durable(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
@@ -185,11 +233,11 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int, scratch: S
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists([signed(s) for s in shingle_sets(texts, k)], pa.int64())], names=["id", "members"])
 
     texts = _plain(docs).join(small_side(wanted, BROADCAST_IDS), F.col("doc_id") == F.col("id"), "left_semi")
-    sets = scratch.save(texts.mapInArrow(run, "id long, members array<long>").dropDuplicates(["id"]), f"sets-{name}")
+    sets = scratch.save(mapped(texts, run, "id long, members array<long>"), f"sets-{name}")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     linked = both.select("a", "b", shared.alias("shared"), (F.size("x") + F.size("y")).alias("total"))
-    out = durable(linked.where(f"{100 + percent} * shared >= {percent} * total").select("a", "b"))
+    out = durable(linked.where(f"{100 + percent} * shared >= {percent} * total").select("a", "b").distinct())
     scratch.drop(f"sets-{name}")
     return out
 
@@ -201,8 +249,8 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     which links with nothing. Equal sets are one class from the start (salted, so that a group of any size is spread), and
     one representative of each goes on. Small sets meet by enumerated subsets, large ones by the inverted lists of the
     shingles that a link must share one of, rare shingles first; the size that parts them is where the two would cost the
-    same. Candidates are first tried along each list (linear in its length) and joined into components; then every
-    pair that is left between different components is tried, so no link between components is lost. Each candidate is
+    same. Candidates are first tried along each list (linear in its length) and joined into components, turn by
+    turn until few pairs are left between components; then each of these is tried, so no link between components is lost. Each candidate is
     verified on the whole sets. Sets are of 64-bit hashes of shingles.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included). Null text: no words. Null
@@ -218,21 +266,37 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     key = ["n", "one", "two"]
     salted = rows.where("n > 0").groupBy(*key, "salt").agg(F.min("doc_id").alias("least"))
     classes = durable(salted.withColumn("rep", F.min("least").over(Window.partitionBy(*key))).drop("least"))
-    reps = rows.join(classes.where("rep is not null").groupBy(*key).agg(F.min("rep").alias("rep")).withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").dropDuplicates([*key, "doc_id"])
+    reps = rows.join(classes.where("rep is not null").groupBy(*key).agg(F.min("rep").alias("rep")).withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi")
+    reps = scratch.save(reps.drop("one", "two", "salt"), "reps")
+    rows = scratch.save(rows.select("doc_id", *key, "salt"), "ids")
+    scratch.drop("sets")
     postings = reps.select("doc_id", "n", F.posexplode("prefix").alias("i", "token"))
     # only lists of two or more matter; they are counted and kept once
     listed = postings.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1").drop("c")
     listed = scratch.save(listed, "lists")
     # a doc_id with several texts ties its classes
     tied = rows.where("doc_id is not null").join(classes, [*key, "salt"]).where("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    first = durable(small_links(reps, percent).unionByName(list_links(listed, percent)).distinct())
-    links = verified(docs, first, k, percent, scratch, "first")
-    links = links.unionByName(durable(tied.join(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("doc_id").alias("b")), "b", "left_semi").select("a", "b")))
-    parts = durable(connected_components(links))
-    left = durable(remaining_links(listed, parts, percent).distinct().join(first, ["a", "b"], "left_anti"))
-    if left.limit(1).count():
-        more = verified(docs, left, k, percent, scratch, "left")
-        parts = durable(connected_components(links.unionByName(more)))
+    tied = durable(tied.join(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("doc_id").alias("b")), "b", "left_semi").select("a", "b"))
+    tried, links, parts, turn, before = None, tied, None, 0, None
+    while True:
+        here = durable(placed(listed, parts)) if turn else placed(listed, None)
+        mixed = durable(mixed_lists(here)) if turn else None
+        # all pairs that are left are tried once they are about as many as a turn tries, or turns don't lessen them any more
+        rest, length = mixed.agg(F.sum(F.expr("(all - own) * all")), F.sum("all")).first() if turn else (None, None)
+        few, slow = (rest or 0) <= PAIRS_PER_POSTING * (length or 0), before is not None and rest > WORTH * before
+        last, before = turn > 0 and (few or slow or turn == TURNS), rest
+        new = remaining_links(here, mixed, percent) if last else list_links(here, percent, turn)
+        if not turn:
+            new = new.unionByName(small_links(reps, percent))
+        new = new.distinct()
+        new = durable(new.join(tried, ["a", "b"], "left_anti") if turn else new)
+        if new.limit(1).count():
+            links = links.unionByName(verified(docs, durable(possible(new, reps, percent)), k, percent, scratch, f"turn-{turn}"))
+        parts = durable(connected_components(links))
+        if last:
+            break
+        tried = new if tried is None else tried.unionByName(new)
+        turn += 1
     ids = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(*key, "salt", F.coalesce("component", "rep").alias("component_id"))
     out = durable(rows.select("doc_id", *key, "salt").join(ids, [*key, "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
     scratch.drop()
