@@ -13,6 +13,7 @@ UNIT_MULTIPLIERS = {"million": 10000.0, "millions": 10000.0, "milliard": 1000000
 CURRENCIES = {"da": "DZD", "dzd": "DZD", "dinar": "DZD", "dinars": "DZD", "دج": "DZD", "د.ج": "DZD", "دينار": "DZD"}
 CURRENCY = "DZD"
 
+# What a price text looks like: digits with separators, then a unit, then a currency.
 _NUMBER = r"(\d[\d\s\x{a0}\x{202f}.,]*)"
 _UNIT = r"(millions?|milliards?|billions?)?"
 _CURRENCY = r"(da|dzd|dinars?|د\.?ج|دينار)?"
