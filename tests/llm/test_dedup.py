@@ -188,7 +188,8 @@ def test_passages_are_found_wherever_they_stand(spark):
     assert all(r.keep_id in (0, 15) and r.keep_id != r.doc_id for r in gone)
     cut = {r.doc_id: r.text for r in substring_dedup.without_repeats(frame(spark, rows)).collect() if r.doc_id is not None}
     assert cut[0] == rows[0][1] and all(cut[i] == rows[i][1] for i in range(30, 60))
-    assert all(not set(passage) & set(cut[i].split()) for i in range(1, 20))  # to the last word
+    whole = [i for i in range(1, 20) if " ".join(passage) in " ".join(texts[i])]  # the other insertion can part it
+    assert len(whole) > 14 and all(not set(passage) & set(cut[i].split()) for i in whole)  # to the last word
     middle = " ".join(longer[20:60])
     assert [i for i in range(15, 30) if middle in cut[i]] == [15]
     assert all(set(cut[i].split()) <= set(texts[i]) for i in range(60))
