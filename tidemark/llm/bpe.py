@@ -24,7 +24,7 @@ ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", r
 LATIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ɏ]+")
 LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^\sa-z0-9À-ÖØ-öø-ɏ]+", re.ASCII)
 #: Chunks that are remembered between the blocks of a worker process, and chunks that go through the index at once.
-CACHE_CHUNKS, INDEX_CHUNKS = 500_000, 100_000
+CACHE_CHUNKS, INDEX_CHUNKS = 200_000, 30_000
 #: Positions of a pair from which on they are merged by array operations.
 LONG_LIST = 48
 #: Bytes of text whose distinct chunks are gathered at once.
@@ -50,30 +50,29 @@ class WordBpe:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
-        self.vocab: dict[str, int] = dict(model["vocab"])
+        vocab: dict[str, int] = model["vocab"]
         suffix = model["end_of_word_suffix"] or ""
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merges = [(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in pairs]
+        self.merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
         if len({m[2] for m in self.merges}) != len(self.merges):
             raise ValueError("two merges make the same token: merging rank by rank over many words could differ from word by word")
         self.rank = {(a, b): r for r, (a, b, _) in enumerate(self.merges)}
         chars = byte_characters()
         self.byte_of = {c: b for b, c in enumerate(chars)}
-        self.inner_ids = np.array([self.vocab[c] for c in chars], np.int64)
-        self.last_ids = np.array([self.vocab[c + suffix] for c in chars], np.int64)
+        self.inner_ids = np.array([vocab[c] for c in chars], np.int64)
+        self.last_ids = np.array([vocab[c + suffix] for c in chars], np.int64)
         keys = np.array([a << 32 | b for a, b, _ in self.merges], np.int64)
         self.pair_ranks = np.argsort(keys)
         self.pair_keys = keys[self.pair_ranks]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) or r"(?!)")
-        strings = {i: s for s, i in (self.vocab | self.special).items()}
+        strings = {i: s for s, i in (vocab | self.special).items()}
         self.strings = [strings.get(i, "").encode() for i in range(max(strings) + 1)]
+        # the library's normaliser and pre-tokeniser, without its copy of the vocabulary
+        self.library = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}}))
         self.cache: dict[bytes, bytes] = {}
 
     # -- before the merges
@@ -209,19 +208,13 @@ class WordBpe:
                 else:
                     self.cache[chunk] = b"".join(ids[known[w]] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in words)
 
-    def learn_by_library(self, chunks: set[bytes]) -> None:
-        """The same by the tokenizers library."""
-        for part in self._unknown(chunks, 10_000):
-            for chunk, got in zip(part, self.library.encode_batch_fast([c.decode() for c in part], add_special_tokens=False), strict=True):
-                self.cache[chunk] = np.array(got.ids, np.uint32).tobytes()
-
-    def _unknown(self, chunks: set[bytes], at_once: int = INDEX_CHUNKS):
+    def _unknown(self, chunks: set[bytes]):
         if len(self.cache) > CACHE_CHUNKS:  # what these texts hold too is frequent enough to stay
             self.cache = {c: self.cache[c] for c in chunks if c in self.cache}
         new = [c for c in chunks if c not in self.cache]
-        return [new[i : i + at_once] for i in range(0, len(new), at_once)]
+        return [new[i : i + INDEX_CHUNKS] for i in range(0, len(new), INDEX_CHUNKS)]
 
-    def encode(self, texts: list[bytes], learn=None):
+    def encode(self, texts: list[bytes]):
         """The ids of each text as little-endian unsigned 32-bit integers, one text after the other.
 
         White space of ASCII parts chunks whose ids don't depend on each other: the normaliser turns every run of white
@@ -233,7 +226,7 @@ class WordBpe:
             seen.update(text.split())
         gc.disable()  # what follows makes many small objects and no cycles
         try:
-            (learn or self.learn)(seen)
+            self.learn(seen)
         finally:
             gc.enable()
         known = self.cache.__getitem__
@@ -287,7 +280,7 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False) -> DataFr
             for key, ids in zip(keys, encoded, strict=True):
                 out.append((key, len(ids) // 4, ids, *([bpe.decode(ids).decode()] if decode else [])))
                 size += len(ids)
-                if size > 8 << 20:
+                if size > 2 << 20:
                     yield batch_of(out)
                     out, size = [], 0
             if out:

@@ -129,7 +129,7 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
             for row in found:
                 out.append(row)
                 size += len(row[3])
-                if size > 8 << 20:
+                if size > 2 << 20:
                     yield batch(out)
                     out, size = [], 0
             if out:
