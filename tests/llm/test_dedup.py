@@ -228,3 +228,51 @@ def test_paragraphs_do_not_depend_on_what_stands_around():
         hashes, _ = word_hashes([text])
         at, _, _ = substring_dedup.paragraphs(hashes)
         assert any(before <= a <= before + 26 for a in at)
+
+
+def passage_model(rows):
+    """What goes and who keeps it: all pairs of paragraph contents that meet in a band, for texts of one paragraph each."""
+    from tidemark.llm.common import word_hashes
+
+    low, sets, bands = {}, {}, defaultdict(set)
+    for i, t in rows:
+        _, content, shingles = substring_dedup.paragraphs(word_hashes([t.encode()])[0])
+        c = int(content[0])
+        low[c], sets[c] = min(i, low.get(c, i)), set(shingles[0].tolist())
+        for b, keys in enumerate(substring_dedup.band_keys(shingles)):
+            bands[b, int(keys[0])].add(c)
+    root = {c: c for c in low}
+
+    def find(c):
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    for band in bands.values():
+        for x in band:
+            for y in band:
+                if x < y and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                    a, b = find(x), find(y)
+                    root[max(a, b)] = min(a, b)
+    keep = {}
+    for c, i in low.items():
+        keep[find(c)] = min(i, keep.get(find(c), i))
+    owner = {i: keep[find(int(substring_dedup.paragraphs(word_hashes([t.encode()])[0])[1][0]))] for i, t in rows}
+    return {i: k for i, k in owner.items() if i != k}
+
+
+@pytest.mark.parametrize("block", [4096, 7])
+def test_every_pair_that_meets_in_a_band_is_tried(spark, monkeypatch, block):
+    """Many unlike paragraphs share a phrase, so they meet in bands where near copies don't stand next to each other."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    rng = random.Random(7)
+    phrase, texts = prose(rng, 15), []
+    for _ in range(150):
+        base = [*prose(rng, 5), *phrase, *prose(rng, 4)]
+        texts += [base, [*base[:-1], "edit"]]
+    texts += texts[:3]
+    rows = list(enumerate(" ".join(t) for t in texts))
+    want = passage_model(rows)
+    assert len(want) > 100
+    got = {r.doc_id: r.keep_id for r in substring_dedup.removals(frame(spark, rows)).collect()}
+    assert got == want

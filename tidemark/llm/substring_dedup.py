@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, lists, mapped, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
+from tidemark.llm.common import Scratch, durable, lists, mapped, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
 from tidemark.operators.components import connected_components
 
 #: Words of a paragraph, and starts of which one is chosen: every passage of LENGTH + CHOICE - 1 = 50 words holds a paragraph.
@@ -19,6 +19,8 @@ LENGTH, CHOICE = 24, 27
 SHINGLE, PERCENT, RECALL = 5, 80, 0.95
 #: Rows of two hashes that may be broadcast: some tens of megabytes.
 BROADCAST_ROWS = 1_000_000
+#: Contents of a band that a block of its pairs holds against all others.
+BLOCK = 4096
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -153,22 +155,58 @@ def text_mark(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def band_links(docs: DataFrame) -> DataFrame:
-    """Pairs of paragraph contents that meet in a band (each with the one before it and the first of its band) unless their bitmaps
-    rule the similarity out, and a pair of a content with itself where several documents hold it.
+def band_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """A row for each band of each content: band, content, bits, low (the smallest doc_id that holds it) and shared (whether
+    several do). Bands in which nothing is shared and all contents have one smallest doc_id are left out: they have no links."""
+    own = Window.partitionBy("band")
+    rows = paragraph_bands(docs).repartition("band").groupBy("band", "content").agg(F.first("bits").alias("bits"), F.min("low").alias("low"), F.max("low").alias("high"), F.max("shared").alias("shared"))
+    rows = rows.select("band", "content", "bits", "low", (F.col("shared") | (F.col("low") != F.col("high"))).alias("shared"))
+    rows = rows.withColumn("least", F.min("low").over(own)).withColumn("most", F.max("low").over(own))
+    return scratch.save(rows.where("shared or least <> most").drop("least", "most"), "bands")
 
-    Contents whose smallest doc_id is the same are no pair: neither could make the other go, and neighbouring paragraphs of one
-    text are alike all the time. Two sets of at most 20 shingles with a Jaccard similarity of 0.8 have a union of 25 at most and differ in 5 members at most.
-    """
+
+def may_be_near(bits, low, other_bits, other_low):
+    """Whether two contents can be a pair. Those whose smallest doc_id is the same are none: neither could make the other go, and
+    neighbouring paragraphs of one text are alike all the time. Two sets of at most 20 shingles with a Jaccard similarity of
+    0.8 have a union of 25 at most and differ in 5 members at most, and so do their bitmaps."""
     differ = int((LENGTH - SHINGLE + 1) * 100 / PERCENT * (100 - PERCENT) / 100 + 1e-9)
-    own = Window.partitionBy("band").orderBy("content", "low")
-    rows = paragraph_bands(docs).withColumn("before", F.lag(F.struct("content", "bits", "low")).over(own)).withColumn("top", F.first(F.struct("content", "bits", "low")).over(own))
-    before, top, content, bits = F.col("before"), F.col("top"), F.col("content"), F.col("bits")
-    near = lambda o: (o["content"] != content) & (o["low"] != F.col("low")) & (F.bit_count(o["bits"].bitwiseXOR(bits)) <= differ)
-    held = F.col("shared") | F.coalesce((before["content"] == content) & (before["low"] != F.col("low")), F.lit(False))
-    others = F.array(F.when(held, content), F.when(near(before), before["content"]), F.when(near(top), top["content"]))
-    links = rows.select("content", F.explode(F.array_distinct(F.array_compact(others))).alias("other"))
-    return links.select(F.least("content", "other").alias("a"), F.greatest("content", "other").alias("b")).distinct()
+    return (low != other_low) & (F.bit_count(bits.bitwiseXOR(other_bits)) <= differ)
+
+
+def first_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of contents that can be near, each with the one before it and the first of its band: as many as a band is long."""
+    own = Window.partitionBy("band").orderBy("content")
+    one = F.struct("content", "bits", "low")
+    rows = rows.withColumn("before", F.lag(one).over(own)).withColumn("top", F.first(one).over(own))
+    near = lambda o: (o["content"] != F.col("content")) & may_be_near(F.col("bits"), F.col("low"), o["bits"], o["low"])
+    others = F.array(*[F.when(near(F.col(o)), F.col(o)["content"]) for o in ("before", "top")])
+    pairs = rows.select("content", F.explode(F.array_distinct(F.array_compact(others))).alias("other"))
+    return pairs.select(F.least("content", "other").alias("a"), F.greatest("content", "other").alias("b")).distinct()
+
+
+def remaining_pairs(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Every pair that can be near of contents that meet in a band and are in different components so far. Contents outside a band's
+    largest component are held against all of the band; a long band is dealt in blocks, so no task holds all of its pairs."""
+    placed = rows.join(parts, F.col("content") == F.col("node"), "left").withColumn("component", F.coalesce("component", "content")).drop("node", "shared")
+    placed = durable(placed)
+    sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("c"))
+    # `first_pairs` has tried every pair of three contents
+    mixed = sizes.groupBy("band").agg(F.max_by("component", F.struct("c", "component")).alias("largest"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k")).where("k > 1 and all > 3")
+    placed = placed.join(mixed.select("band", "largest", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")), "band")
+    left = placed.where("component <> largest").withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")).alias("l")
+    right = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("r")
+    once = (F.col("r.component") == F.col("l.largest")) | (F.col("l.content") < F.col("r.content"))
+    on = (F.col("l.band") == F.col("r.band")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.component") != F.col("r.component")) & once
+    pairs = left.join(right, on & may_be_near(F.col("l.bits"), F.col("l.low"), F.col("r.bits"), F.col("r.low")))
+    return pairs.select(F.least("l.content", "r.content").alias("a"), F.greatest("l.content", "r.content").alias("b")).distinct()
+
+
+def near_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links of contents that have the similarity, so many that no pair that meets in a band and has it is left between components."""
+    first = durable(first_pairs(rows))
+    links = durable(verified(docs, first)) if first.limit(1).count() else first
+    rest = durable(remaining_pairs(rows, connected_components(links)).join(first, ["a", "b"], "left_anti"))
+    return links.unionByName(durable(verified(docs, rest))) if rest.limit(1).count() else links
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -245,7 +283,7 @@ def removals(docs: DataFrame) -> DataFrame:
     Texts are parted into paragraphs of 24 words that overlap freely, at places that the words themselves choose, so every
     passage of 50 words or more holds paragraphs that come out alike in each of its copies, wherever it stands. Equal
     paragraphs are one content. Contents meet in MinHash bands tuned for the recall; the pairs are verified by the exact
-    Jaccard similarity (0.8) of their five-word shingles; links make components. Of a component's paragraphs, those of
+    Jaccard similarity (0.8) of their five-word shingles; links make components, and every pair that is left between components is tried. Of a component's paragraphs, those of
     its smallest doc_id stay; all others go, with the words around them as far as these agree with the text that stays.
     Repeats inside one document stay.
 
@@ -254,11 +292,11 @@ def removals(docs: DataFrame) -> DataFrame:
     of under 24 words, null texts and rows with a null doc_id have no paragraphs. Repeated doc_ids: the rows are one
     document, none is held against another. Only doc_id and text are read.
     """
-    links = durable(band_links(docs))
-    same = links.where("a = b").select(F.col("a").alias("content"))
-    pairs = links.where("a <> b").select("a", "b")
-    near = durable(verified(docs, pairs)) if pairs.limit(1).count() else pairs
-    parts = durable(connected_components(near))
+    scratch = Scratch(docs.sparkSession)
+    rows = band_rows(docs, scratch)
+    same = durable(rows.where("shared").select("content").distinct())
+    parts = durable(connected_components(near_links(docs, rows)))
+    scratch.drop()
     marked = durable(same.join(parts, F.col("content") == F.col("node"), "full").select(F.coalesce("content", "node").alias("content"), F.coalesce("component", "content").alias("component_id")))
     places = durable(paragraph_places(docs).join(small_side(marked, BROADCAST_ROWS), "content"))
     keep = durable(places.groupBy("component_id").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("last_id")).where("keep_id <> last_id"))
