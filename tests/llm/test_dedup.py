@@ -276,3 +276,29 @@ def test_every_pair_that_meets_in_a_band_is_tried(spark, monkeypatch, block):
     assert len(want) > 100
     got = {r.doc_id: r.keep_id for r in substring_dedup.removals(frame(spark, rows)).collect()}
     assert got == want
+
+
+def alike(a, b):
+    x, y = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b))
+    return 100 * len(x & y) >= 80 * len(x | y)
+
+
+@pytest.mark.parametrize("lines, length, edits, least", [(True, 60, 1, 0.93), (False, 200, 2, 0.9)])
+def test_recall_of_edited_passages(spark, lines, length, edits, least):
+    """Passages that are alike by brute force: as lines, and anywhere in running text. What windows of 24 words find doesn't count:
+    half of the passage must go."""
+    rng = random.Random(8)
+    part, rows, pairs = "\n" if lines else " ", [], 0
+    for i in range(80):
+        p = prose(rng, length)
+        q = list(p)
+        for k in range(edits):
+            q[(2 * k + 1) * length // (2 * edits)] = f"edit{i}-{k}"
+        assert alike(p, q)
+        rows += [(2 * i + h, part.join([" ".join(prose(rng, 60)), " ".join(x), " ".join(prose(rng, 60))])) for h, x in enumerate((p, q))]
+        pairs += 1
+    gone = defaultdict(int)
+    for r in substring_dedup.removals(frame(spark, rows)).collect():
+        assert r.doc_id % 2 and r.keep_id == r.doc_id - 1
+        gone[r.doc_id] += r.length
+    assert sum(n > length / 2 for n in gone.values()) >= least * pairs

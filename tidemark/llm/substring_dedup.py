@@ -10,11 +10,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, durable, lists, mapped, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
+from tidemark.llm.common import Scratch, durable, mapped, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
 from tidemark.operators.components import connected_components
 
 #: Words of a paragraph, and starts of which one is chosen: every passage of LENGTH + CHOICE - 1 = 50 words holds a paragraph.
 LENGTH, CHOICE = 24, 27
+#: Chunks run from one anchor to the first that stands SPAN words on; an anchor has the smallest shingle hash of the REACH on either side.
+SPAN, REACH = 48, 12
 #: Words of a shingle, the least similarity in percent, and the recall that the bands are tuned for.
 SHINGLE, PERCENT, RECALL = 5, 80, 0.95
 #: Rows of two hashes that may be broadcast: some tens of megabytes.
@@ -60,30 +62,84 @@ def paragraphs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return at, np.zeros(0, np.uint64), np.zeros((0, LENGTH - SHINGLE + 1), np.uint64)
     weights = mix(np.arange(1, LENGTH + 1, dtype=np.uint64)) | np.uint64(1)
     content = mix((hashes[at[:, None] + np.arange(LENGTH)] * weights).sum(axis=1, dtype=np.uint64))
-    again = np.zeros(len(at), bool)
-    again[1:] = (content[1:] == content[:-1]) & (np.diff(at) < LENGTH)
-    if again.any():
-        run = np.maximum.accumulate(np.where(again, 0, at))
-        keep = ~again | ((at - run) % LENGTH == 0)
-        at, content = at[keep], content[keep]
+    keep = apart(at, content, np.full(len(at), LENGTH))
+    at, content = at[keep], content[keep]
     return at, content, shingles[at[:, None] + np.arange(LENGTH - SHINGLE + 1)]
 
 
-def band_keys(shingles: np.ndarray) -> list[np.ndarray]:
-    """A key for each band and paragraph, from the smallest of ROWS permuted shingle hashes."""
+def apart(at: np.ndarray, content: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Which paragraphs stay when of a run of overlapping equal ones every length-th word starts one."""
+    again = np.zeros(len(at), bool)
+    again[1:] = (content[1:] == content[:-1]) & (np.diff(at) < length[1:])
+    run = np.maximum.accumulate(np.where(again, 0, at)) if len(at) else at
+    return ~again | ((at - run) % np.maximum(length, 1) == 0)
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The indices of ranges, one after the other, and where each range begins among them."""
+    first = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - first, lengths), first
+
+
+def chunks(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the larger paragraphs that the words place: from each anchor to the end of a later one's shingle."""
+    order = np.full(len(shingles) + 2 * REACH, np.iinfo(np.uint64).max, np.uint64)
+    order[REACH : REACH + len(shingles)] = mix(shingles)
+    least, width = order, 1
+    while width <= 2 * REACH:
+        step = min(width, 2 * REACH + 1 - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
+    at = np.flatnonzero(order[REACH : REACH + len(shingles)] == least)
+    to = np.searchsorted(at, at + SPAN)
+    ends = at[to[to < len(at)]]
+    at = at[: len(ends)]
+    return at, ends - at + SHINGLE
+
+
+def lines_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths, in words, of a text's lines."""
+    length = np.array([len(line.split()) for line in text.split(b"\n")], np.int64)
+    return np.cumsum(length) - length, length
+
+
+def units(hashes: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, hashes of the words, shingles (one after the other) and lengths of all paragraphs of a text: its windows of LENGTH
+    words, its lines of as many words or more, and its chunks."""
+    at, content, rows = paragraphs(hashes)
+    shingles = shingle_hashes(hashes, SHINGLE)
+    starts, lengths = lines_of(text)
+    whole = lengths >= LENGTH
+    begin, size = (np.concatenate(x) for x in zip((starts[whole], lengths[whole]), chunks(shingles), strict=True))
+    if not len(begin):
+        return at, content, rows.ravel(), np.full(len(at), LENGTH)
+    inside, first = ranges(begin, size)
+    weights = mix(np.arange(1, int(size.max()) + 1, dtype=np.uint64)) | np.uint64(1)
+    more = mix(np.add.reduceat(hashes[inside] * weights[inside - np.repeat(begin, size)], first))
+    n = int(whole.sum())
+    keep = np.append(np.ones(n, bool), apart(begin[n:], more[n:], size[n:]))
+    begin, size, more = begin[keep], size[keep], more[keep]
+    inside, _ = ranges(begin, size - SHINGLE + 1)
+    return np.append(at, begin), np.append(content, more), np.append(rows.ravel(), shingles[inside]), np.append(np.full(len(at), LENGTH), size)
+
+
+def band_keys(shingles: np.ndarray, first: np.ndarray | None = None) -> list[np.ndarray]:
+    """A key for each band and paragraph, from the smallest of ROWS permuted shingle hashes. shingles: a row for each paragraph, or
+    one after the other with the place of each one's first."""
+    if first is None:
+        first, shingles = np.arange(len(shingles)) * shingles.shape[1], shingles.ravel()
     out = []
     for band in range(BANDS):
-        key = np.full(len(shingles), band + 1, np.uint64)
+        key = np.full(len(first), band + 1, np.uint64)
         for row in range(ROWS):
             turn = mix(np.array([1 + band * ROWS + row], np.uint64))[0] | np.uint64(1)
-            key = mix(key + mixed_minimum(shingles, turn))
+            key = mix(key + mixed_minimum(shingles, first, turn))
         out.append(key)
     return out
 
 
-def mixed_minimum(shingles: np.ndarray, turn: np.uint64) -> np.ndarray:
+def mixed_minimum(shingles: np.ndarray, first: np.ndarray, turn: np.uint64) -> np.ndarray:
     x = shingles * turn
-    return (x ^ (x >> np.uint64(29))).min(axis=1) if len(x) else np.zeros(0, np.uint64)
+    return np.minimum.reduceat(x ^ (x >> np.uint64(29)), first) if len(first) else np.zeros(0, np.uint64)
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -95,7 +151,7 @@ def _parted(batches):
         hashes, offsets = word_hashes(texts)
         for i, text, a, b in zip(ids, texts, offsets[:-1], offsets[1:], strict=True):
             if b - a >= LENGTH:
-                yield i, text, *paragraphs(hashes[a:b])
+                yield i, text, *units(hashes[a:b], text)
 
 
 def _in_batches(rows, make, size: int = 20_000):
@@ -111,9 +167,22 @@ def _in_batches(rows, make, size: int = 20_000):
         yield make(held)
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
+def bitmap(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
     """64 bits for each paragraph, one set for every shingle. Sets that differ in d members have bitmaps that differ in d bits at most."""
-    return np.bitwise_or.reduce(np.uint64(1) << (shingles >> np.uint64(58)), axis=1) if len(shingles) else np.zeros(0, np.uint64)
+    return np.bitwise_or.reduceat(np.uint64(1) << (shingles >> np.uint64(58)), first) if len(first) else np.zeros(0, np.uint64)
+
+
+def _distinct(held) -> tuple[np.ndarray, ...]:
+    """Of the contents of held paragraphs, sorted: content, the smallest and the largest doc_id, the number of shingles, and these, one after the other."""
+    ids = np.concatenate([np.full(len(h[2]), h[0], np.int64) for h in held])
+    content, shingles, size = (np.concatenate([h[k] for h in held]) for k in (3, 4, 5))
+    size = size - SHINGLE + 1
+    begin = np.cumsum(size) - size
+    order = np.lexsort((ids, content))
+    ids, content = ids[order], content[order]
+    first = np.flatnonzero(np.append(True, content[1:] != content[:-1]))
+    size, begin = size[order[first]], begin[order[first]]
+    return content[first], ids[first], ids[np.append(first[1:], len(ids)) - 1], size, shingles[ranges(begin, size)[0]]
 
 
 def paragraph_bands(docs: DataFrame) -> DataFrame:
@@ -121,32 +190,28 @@ def paragraph_bands(docs: DataFrame) -> DataFrame:
     doc_id) and shared (whether another doc_id has it too). Copies are combined before anything moves."""
 
     def make(held):
-        ids = np.concatenate([np.full(len(h[2]), h[0], np.int64) for h in held])
-        content, shingles = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
-        order = np.lexsort((ids, content))
-        ids, content = ids[order], content[order]
-        first = np.flatnonzero(np.append(True, content[1:] != content[:-1]))
-        low, high = ids[first], ids[np.append(first[1:], len(ids)) - 1]
-        shingles = shingles[order[first]]
-        columns = [signed(content[first]), signed(bitmap(shingles)), low, low != high]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([signed(k) for k in band_keys(shingles)])), *[pa.array(np.tile(c, BANDS)) for c in columns]], names=["band", "content", "bits", "low", "shared"])
+        content, low, high, size, shingles = _distinct(held)
+        first = np.cumsum(size) - size
+        columns = [signed(content), signed(bitmap(shingles, first)), size.astype(np.int32), low, low != high]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([signed(k) for k in band_keys(shingles, first)])), *[pa.array(np.tile(c, BANDS)) for c in columns]], names=["band", "content", "bits", "n", "low", "shared"])
 
-    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make, 100_000), "band long, content long, bits long, low long, shared boolean")
+    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make, 100_000), "band long, content long, bits long, n int, low long, shared boolean")
 
 
 def paragraph_places(docs: DataFrame) -> DataFrame:
     def make(held):
         ids, marks = (np.concatenate([np.full(len(h[2]), f(h), np.int64) for h in held]) for f in (lambda h: h[0], lambda h: text_mark(h[1])))
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks), pa.array(np.concatenate([h[2] for h in held]).astype(np.int32)), pa.array(signed(np.concatenate([h[3] for h in held])))], names=["doc_id", "mark", "start", "content"])
+        start, length = (np.concatenate([h[k] for h in held]).astype(np.int32) for k in (2, 5))
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks), pa.array(start), pa.array(length), pa.array(signed(np.concatenate([h[3] for h in held])))], names=["doc_id", "mark", "start", "length", "content"])
 
-    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make), "doc_id long, mark long, start int, content long")
+    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make), "doc_id long, mark long, start int, length int, content long")
 
 
 def paragraph_shingles(docs: DataFrame) -> DataFrame:
     def make(held):
-        content, rows = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
-        _, first = np.unique(content, return_index=True)
-        return pa.RecordBatch.from_arrays([pa.array(signed(content[first])), lists([signed(r) for r in rows[first]], pa.int64())], names=["content", "members"])
+        content, _, _, size, shingles = _distinct(held)
+        offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(signed(content)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(shingles)))], names=["content", "members"])
 
     return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make), "content long, members array<long>")
 
@@ -156,29 +221,28 @@ def text_mark(text: bytes) -> int:
 
 
 def band_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """A row for each band of each content: band, content, bits, low (the smallest doc_id that holds it) and shared (whether
+    """A row for each band of each content: band, content, bits, n (its shingles), low (the smallest doc_id that holds it) and shared (whether
     several do). Bands in which nothing is shared and all contents have one smallest doc_id are left out: they have no links."""
     own = Window.partitionBy("band")
-    rows = paragraph_bands(docs).repartition("band").groupBy("band", "content").agg(F.first("bits").alias("bits"), F.min("low").alias("low"), F.max("low").alias("high"), F.max("shared").alias("shared"))
-    rows = rows.select("band", "content", "bits", "low", (F.col("shared") | (F.col("low") != F.col("high"))).alias("shared"))
+    rows = paragraph_bands(docs).repartition("band").groupBy("band", "content").agg(F.first("bits").alias("bits"), F.first("n").alias("n"), F.min("low").alias("low"), F.max("low").alias("high"), F.max("shared").alias("shared"))
+    rows = rows.select("band", "content", "bits", "n", "low", (F.col("shared") | (F.col("low") != F.col("high"))).alias("shared"))
     rows = rows.withColumn("least", F.min("low").over(own)).withColumn("most", F.max("low").over(own))
     return scratch.save(rows.where("shared or least <> most").drop("least", "most"), "bands")
 
 
-def may_be_near(bits, low, other_bits, other_low):
+def may_be_near(bits, n, low, other_bits, other_n, other_low):
     """Whether two contents can be a pair. Those whose smallest doc_id is the same are none: neither could make the other go, and
-    neighbouring paragraphs of one text are alike all the time. Two sets of at most 20 shingles with a Jaccard similarity of
-    0.8 have a union of 25 at most and differ in 5 members at most, and so do their bitmaps."""
-    differ = int((LENGTH - SHINGLE + 1) * 100 / PERCENT * (100 - PERCENT) / 100 + 1e-9)
-    return (low != other_low) & (F.bit_count(bits.bitwiseXOR(other_bits)) <= differ)
+    neighbouring paragraphs of one text are alike all the time. Sets of m and n shingles with a Jaccard similarity of 0.8
+    differ in (m + n) / 9 members at most, and so do their bitmaps."""
+    return (low != other_low) & ((100 + PERCENT) * F.bit_count(bits.bitwiseXOR(other_bits)) <= (100 - PERCENT) * (n + other_n))
 
 
 def first_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of contents that can be near, each with the one before it and the first of its band: as many as a band is long."""
     own = Window.partitionBy("band").orderBy("content")
-    one = F.struct("content", "bits", "low")
+    one = F.struct("content", "bits", "n", "low")
     rows = rows.withColumn("before", F.lag(one).over(own)).withColumn("top", F.first(one).over(own))
-    near = lambda o: (o["content"] != F.col("content")) & may_be_near(F.col("bits"), F.col("low"), o["bits"], o["low"])
+    near = lambda o: (o["content"] != F.col("content")) & may_be_near(F.col("bits"), F.col("n"), F.col("low"), o["bits"], o["n"], o["low"])
     others = F.array(*[F.when(near(F.col(o)), F.col(o)["content"]) for o in ("before", "top")])
     pairs = rows.select("content", F.explode(F.array_distinct(F.array_compact(others))).alias("other"))
     return pairs.select(F.least("content", "other").alias("a"), F.greatest("content", "other").alias("b")).distinct()
@@ -197,7 +261,7 @@ def remaining_pairs(rows: DataFrame, parts: DataFrame) -> DataFrame:
     right = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("r")
     once = (F.col("r.component") == F.col("l.largest")) | (F.col("l.content") < F.col("r.content"))
     on = (F.col("l.band") == F.col("r.band")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.component") != F.col("r.component")) & once
-    pairs = left.join(right, on & may_be_near(F.col("l.bits"), F.col("l.low"), F.col("r.bits"), F.col("r.low")))
+    pairs = left.join(right, on & may_be_near(F.col("l.bits"), F.col("l.n"), F.col("l.low"), F.col("r.bits"), F.col("r.n"), F.col("r.low")))
     return pairs.select(F.least("l.content", "r.content").alias("a"), F.greatest("l.content", "r.content").alias("b")).distinct()
 
 
@@ -234,11 +298,13 @@ def agreement(a: np.ndarray, b: np.ndarray, start: int, end: int) -> tuple[int,
 
 
 def merged(spans: list[tuple]) -> list[tuple]:
-    """Sorted spans (start, end, component, keeper), those that overlap or touch as one with the first's component and keeper."""
+    """Sorted spans (start, end, component, keeper), those that overlap or touch as one with the component and keeper of the one with
+    the smallest keeper (the first of these): a larger keeper may lose the passage to it. Without keepers, the first's component."""
     out: list[tuple] = []
     for s in sorted(spans):
         if out and s[0] <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], s[1]), *out[-1][2:])
+            rest = s[2:] if len(s) > 3 and s[3] < out[-1][3] else out[-1][2:]
+            out[-1] = (out[-1][0], max(out[-1][1], s[1]), *rest)
         else:
             out.append(s)
     return out
@@ -253,9 +319,9 @@ SPANS = "doc_id long, mark long, start long, end long, component_id long, keep_i
 
 
 def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Repeated paragraphs (doc_id, mark, start, component_id, keep_id) as spans that reach as far as the text agrees with its keeper's.
+    """Repeated paragraphs (doc_id, mark, start, length, component_id, keep_id) as spans that reach as far as the text agrees with its keeper's.
     Only the texts of these documents and their keepers move."""
-    each = durable(found.groupBy("doc_id", "mark", "keep_id").agg(F.collect_set(F.struct("start", "component_id")).alias("found")))
+    each = durable(found.groupBy("doc_id", "mark", "keep_id").agg(F.collect_set(F.struct("start", "length", "component_id")).alias("found")))
     wanted = durable(each.select(F.col("doc_id").alias("id")).unionByName(each.select(F.col("keep_id").alias("id"))).distinct())
     texts = _plain(docs).join(small_side(wanted, BROADCAST_ROWS), F.col("doc_id") == F.col("id"), "left_semi")
     both = each.join(texts.withColumnRenamed("text", "own"), "doc_id").join(texts.select(F.col("doc_id").alias("keep_id"), F.col("text").alias("kept")), "keep_id")
@@ -270,7 +336,7 @@ def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
                     if own is None or kept is None or text_mark(own) != mark:
                         continue
                     a, b = word_hashes([own])[0], word_hashes([kept])[0]
-                    for start, end, component in merged([(p["start"], p["start"] + LENGTH, p["component_id"]) for p in places]):
+                    for start, end, component in merged([(p["start"], p["start"] + p["length"], p["component_id"]) for p in places]):
                         out.append((doc, mark, *agreement(a, b, start, end), component, keep))
                 yield _spans(out)
 
@@ -281,14 +347,16 @@ def removals(docs: DataFrame) -> DataFrame:
     """What to remove so that each passage that repeats across documents stays in one.
 
     Texts are parted into paragraphs of 24 words that overlap freely, at places that the words themselves choose, so every
-    passage of 50 words or more holds paragraphs that come out alike in each of its copies, wherever it stands. Equal
+    passage of 50 words or more holds paragraphs that come out alike in each of its copies, wherever it stands. Lines of 24
+    words or more are paragraphs too, and so are chunks of 53 words or more between places that the words choose: these can
+    have the similarity with a word changed inside, where windows of 24 words can't. Equal
     paragraphs are one content. Contents meet in MinHash bands tuned for the recall; the pairs are verified by the exact
     Jaccard similarity (0.8) of their five-word shingles; links make components, and every pair that is left between components is tried. Of a component's paragraphs, those of
     its smallest doc_id stay; all others go, with the words around them as far as these agree with the text that stays.
     Repeats inside one document stay.
 
     Returns doc_id, mark (a hash that tells texts of one doc_id apart), start and length (in words; spans that overlap or
-    touch are one), component_id (a paragraph content of the first component), keep_id (the doc_id that keeps it). Texts
+    touch are one), component_id (a paragraph content of the keeper's first component), keep_id (the doc_id that keeps it). Texts
     of under 24 words, null texts and rows with a null doc_id have no paragraphs. Repeated doc_ids: the rows are one
     document, none is held against another. Only doc_id and text are read.
     """
@@ -301,7 +369,7 @@ def removals(docs: DataFrame) -> DataFrame:
     places = durable(paragraph_places(docs).join(small_side(marked, BROADCAST_ROWS), "content"))
     keep = durable(places.groupBy("component_id").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("last_id")).where("keep_id <> last_id"))
     gone = places.join(small_side(keep.drop("last_id"), BROADCAST_ROWS), "component_id").where("doc_id <> keep_id")
-    whole = extended(docs, gone.select("doc_id", "mark", "start", "component_id", "keep_id"))
+    whole = extended(docs, gone.select("doc_id", "mark", "start", "length", "component_id", "keep_id"))
 
     def merge(batches):
         for batch in batches:
