@@ -302,3 +302,7 @@ def test_recall_of_edited_passages(spark, lines, length, edits, least):
         assert r.doc_id % 2 and r.keep_id == r.doc_id - 1
         gone[r.doc_id] += r.length
     assert sum(n > length / 2 for n in gone.values()) >= least * pairs
+
+
+def test_bands_of_the_operator_find_nearly_all():
+    assert 1 - (1 - 0.8**substring_dedup.ROWS) ** substring_dedup.BANDS >= 0.99

@@ -18,7 +18,7 @@ LENGTH, CHOICE = 24, 27
 #: Chunks run from one anchor to the first that stands SPAN words on; an anchor has the smallest shingle hash of the REACH on either side.
 SPAN, REACH = 48, 12
 #: Words of a shingle, the least similarity in percent, and the recall that the bands are tuned for.
-SHINGLE, PERCENT, RECALL = 5, 80, 0.95
+SHINGLE, PERCENT, RECALL = 5, 80, 0.99
 #: Rows of two hashes that may be broadcast: some tens of megabytes.
 BROADCAST_ROWS = 1_000_000
 #: Contents of a band that a block of its pairs holds against all others.
