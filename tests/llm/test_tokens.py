@@ -42,6 +42,17 @@ def test_word_bpe_of_any_text(texts):
     assert ids == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_word_bpe_of_latin_letters_beside_signs():
+    """Every code point from U+00C0 to U+024F beside digits, signs and letters, and random chunks of them."""
+    model, lib = bpe.word_bpe(WORD), library()
+    latin = [chr(c) for c in range(0xC0, 0x250)]
+    texts = [" ".join((f"{c}x1", f"x{c},", f"{c}.a", f"1{c}", f"{c}li-2", f"-{c}", f"{c}'s", c + c + "!")) for c in latin]
+    rng = random.Random(3)
+    texts += ["".join(rng.choice(latin if rng.random() < 0.5 else "abzAZ019.,-'&") for _ in range(rng.randrange(2, 9))) for _ in range(10_000)]
+    ids = [np.frombuffer(x, np.uint32).tolist() for x in model.encode([t.encode() for t in texts])]
+    assert ids == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_long_and_short_lists_merge_alike(monkeypatch):
     rng = random.Random(1)
     words = list({"".join(rng.choice("aabcdeinorst") for _ in range(rng.randrange(1, 14))).encode() for _ in range(3000)})

@@ -20,9 +20,17 @@ from tidemark.llm.common import blocks, mapped, resident
 
 #: Words of ASCII, after lower-casing, as the vocabulary's pre-tokeniser parts them.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+
+
+def latin_letters(first: int = 0xC0, last: int = 0x24F) -> str:
+    """The letters of these code points whose lower case is a single letter of them too, so that lower-casing stays in the class."""
+    return "".join(c for c in map(chr, range(first, last + 1)) if c.isalpha() and len(low := c.lower()) == 1 and first <= ord(low) <= last and low.isalpha())
+
+
 #: Chunks of these characters alone are unchanged by the normaliser but for lower case; all but ASCII's are letters.
-LATIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ɏ]+")
-LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^\sa-z0-9À-ÖØ-öø-ɏ]+", re.ASCII)
+LETTERS = latin_letters()
+LATIN = re.compile(f"[\x21-\x7e{LETTERS}]+")
+LATIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^\sa-z0-9{LETTERS}]+", re.ASCII)
 #: Chunks that are remembered between the blocks of a worker process, and chunks that go through the index at once.
 CACHE_CHUNKS, INDEX_CHUNKS = 200_000, 30_000
 #: Positions of a pair from which on they are merged by array operations.
