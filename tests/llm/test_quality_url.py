@@ -162,15 +162,28 @@ def test_swaps_are_held_to_the_same_score():
 
 
 def test_descent_meets_its_conditions():
-    """At the optimum of the squared hinge loss, the weights are the sum of the margins' shortfalls."""
+    """At the optimum of the hinge loss the primal objective is no worse than near it, in any direction."""
     rng = np.random.default_rng(1)
     x = rng.normal(size=(60, 5))
     y = (x[:, 0] + 0.3 * rng.normal(size=60) > 0).astype(int)
     rows = [np.arange(5)] * 60
-    w, shift = quality_classifier.descend(rows, list(x), y, rounds=4000, tolerance=1e-7)
+    w, shift = quality_classifier.descend(rows, list(x), y, rounds=4000, tolerance=1e-9)
     sign = np.where(y == 1, 1, -1)
-    short = np.maximum(0, 1 - sign * (x @ w[:5] + shift))
-    assert np.allclose(w[:5], 2 * (short * sign) @ x, atol=1e-4) and abs(shift - 2 * (short * sign).sum()) < 1e-4
+    cost = lambda v: 0.5 * (v**2).sum() + np.maximum(0, 1 - sign * (x @ v[:5] + v[5])).sum()
+    best = np.append(w[:5], shift)
+    assert all(cost(best) <= cost(best + step) + 1e-6 for step in rng.normal(size=(500, 6)) * rng.choice([0.001, 0.01, 0.1], size=(500, 1)))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab1.# \n", max_size=12), max_size=8), st.randoms())
+def test_quality_features_do_not_depend_on_the_block(texts, rng):
+    texts = [t.encode() for t in texts]
+    together = [sorted(f.tolist()) for f in quality_classifier.features(texts)] if texts else []
+    assert together == [sorted(quality_classifier.features([t])[0].tolist()) for t in texts]
+    if texts:
+        cut = rng.randrange(len(texts) + 1)
+        parts = [quality_classifier.features(p) if p else [] for p in (texts[:cut], texts[cut:])]
+        assert together == [sorted(f.tolist()) for p in parts for f in p]
 
 
 def test_indicator():

@@ -20,7 +20,7 @@ def features(texts: list[bytes]) -> list[np.ndarray]:
     text's words has each frequent shape."""
     w = linear.Words(texts)
     h, s = w.hashes, w.shapes
-    grams = [(linear.gram([h], 1), 1), (linear.gram([h[:-1], h[1:]], 2), 2), (linear.gram([s], 3), 1), (linear.gram([s[:-1], s[1:]], 4), 2), (linear.gram([s[:-2], s[1:-1], s[2:]], 5), 3)] if len(h) > 2 else []
+    grams = [(linear.gram([h], 1), 1), (linear.gram([h[:-1], h[1:]], 2), 2), (linear.gram([s], 3), 1), (linear.gram([s[:-1], s[1:]], 4), 2), (linear.gram([s[:-2], s[1:-1], s[2:]], 5), 3)]
     scratch, out = np.zeros(linear.SIZE, np.int32), []
     for a, b in zip(w.offsets[:-1], w.offsets[1:], strict=True):
         n = b - a
@@ -28,8 +28,6 @@ def features(texts: list[bytes]) -> list[np.ndarray]:
             out.append(np.zeros(0, np.int64))
             continue
         parts = [g[a : b - k + 1] for g, k in grams if n >= k]
-        if not grams:
-            parts = [linear.gram([h[a:b]], 1), linear.gram([s[a:b]], 3)]
         shape, count = np.unique(s[a:b] // 6, return_counts=True)
         share = np.ceil(8 * count / n).astype(np.int64)
         parts.append(linear.gram([shape, share], 6))
@@ -62,18 +60,17 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, smooth: float = 1.0)
 
 
 def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: float = 1.0, rounds: int = 15, seed: int = 7, tolerance: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the squared hinge loss with an L2 penalty; the shift is a constant feature of value 1."""
+    """Dual coordinate descent for the hinge loss with an L2 penalty; the shift is a constant feature of value 1."""
     w, shift = np.zeros(linear.SIZE), 0.0
     sign = np.where(y == 1, 1.0, -1.0)
-    diagonal = 0.5 / cost
-    norms = np.array([(v * v).sum() + 1 + diagonal for v in values])
+    norms = np.array([(v * v).sum() + 1 for v in values])
     alpha, rng = np.zeros(len(rows)), np.random.default_rng(seed)
     for _ in range(rounds):
         largest = 0.0
         for i in rng.permutation(len(rows)):
             x, v = rows[i], values[i]
-            gradient = sign[i] * (float(w[x] @ v) + shift) - 1 + diagonal * alpha[i]
-            step = max(alpha[i] - gradient / norms[i], 0.0) - alpha[i]
+            gradient = sign[i] * (float(w[x] @ v) + shift) - 1
+            step = min(max(alpha[i] - gradient / norms[i], 0.0), cost) - alpha[i]
             if step:
                 alpha[i] += step
                 w[x] += step * sign[i] * v
