@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +23,26 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: With it, Spark deletes a query's shuffle files as soon as the query ends; without, when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Queries that are made and run inside leave no shuffle files behind. The session's setting is as before afterwards."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """The same rows, cut from their lineage by a checkpoint in the shared folder."""
+    """The same rows, cut from their lineage by a checkpoint in the shared folder. The checkpoint is all that stays on disk."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with tidy(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
