@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,7 +151,50 @@ def test_similar_groups_against_all_pairs(spark, k, percent):
 
 
 def test_boundary_follows_the_cost():
-    assert jaccard_join.boundary(1, 85) < jaccard_join.boundary(10, 85) <= jaccard_join.boundary(1000, 85)
+    """Longer lists make more sets small, and the boundary is the cheapest of all."""
+    assert [jaccard_join.largest_small(p) for p in (85, 80)] == [15, 14]
+    found = []
+    for length in (1, 3, 100):
+        sizes = {n: (50, 50.0 * (n - jaccard_join.least_overlap(n, 85) + 1) * length) for n in range(1, 16)}
+        found.append(jaccard_join.boundary(sizes, 85))
+    assert found == sorted(found) and found[0] < 7 <= found[-1]
+    assert jaccard_join.boundary({}, 85) == 15
+
+
+def test_both_halves_find_links(spark):
+    """Where short texts have many near copies, the boundary measured on the lists makes them small; both halves then find links.
+    (In sf0.1 no two different sets of up to 15 shingles link, so lists alone find links there, whatever the boundary.)"""
+    from tidemark.llm.common import Scratch
+
+    rng, scratch = random.Random(12), Scratch(spark)
+    short = [[*prose(rng, 15), f"last{i}"] for i in range(40)]
+    texts = [" ".join([*t[:-1], f"{t[-1]}-{j}"]) for t in short for j in range(5)] + [t for _ in range(20) for t in family(rng, 3, 80, 1)]
+    docs = frame(spark, list(enumerate(texts)))
+    rows = jaccard_join.described(docs, 4, 85, jaccard_join.frequent_shingles(docs, 4)).dropDuplicates(["n", "one", "two"])
+    reps = scratch.save(rows, "reps")
+    listed, small = jaccard_join.inverted_lists(reps, 85, scratch)
+    by_subset = jaccard_join.small_links(reps.where(F.col("n") <= small), 85).distinct().count()
+    by_list = jaccard_join.possible(jaccard_join.list_links(jaccard_join.placed(listed, None), 85, 0).distinct(), reps, 85).count()
+    scratch.drop()
+    assert 13 <= small <= 15 and by_subset >= 160 and by_list > 0
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_groups(docs).collect()}
+    assert got == jaccard_model(list(enumerate(texts)), 4, 85)
+
+
+@pytest.mark.parametrize("chain, block", [(256, 1024), (4, 5)])
+def test_pairs_left_in_long_lists(spark, monkeypatch, chain, block):
+    """Unlike documents share a phrase of common shingles, and near copies stand far from each other in its lists."""
+    monkeypatch.setattr(jaccard_join, "CHAIN", chain)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "TURNS", 1)
+    rng = random.Random(11)
+    phrase, rows = [f"p{i}" for i in range(30)], []
+    for i in range(60):
+        own = [f"o{i}-{j}" for j in range(8)]
+        rows += [(2 * i, " ".join([*own, *phrase])), (2 * i + 1, " ".join([*own, *phrase[:-1], f"x{i}"]))]
+    rng.shuffle(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_groups(frame(spark, rows), 4, 85).collect()}
+    assert got == jaccard_model(rows, 4, 85)
 
 
 def test_similar_groups_of_odd_rows(spark):
@@ -219,28 +263,53 @@ def test_bands_are_tuned():
 
 
 def test_paragraphs_do_not_depend_on_what_stands_around():
-    from tidemark.llm.common import word_hashes
-
     rng = random.Random(6)
-    p = prose(rng, 50)
+    p, more = prose(rng, 50), prose(rng, 300)
     for before in range(0, 60, 7):
         text = " ".join([*prose(rng, before), *p, *prose(rng, 40)]).encode()
-        hashes, _ = word_hashes([text])
-        at, _, _ = substring_dedup.paragraphs(hashes)
-        assert any(before <= a <= before + 26 for a in at)
+        found = substring_dedup.paragraphs([b"x y", text, b"", " ".join(more).encode()])
+        assert any(t == 1 and before <= a <= before + 26 and n == 24 for t, a, n in zip(found.text, found.start, found.length, strict=True))
+        alone = substring_dedup.paragraphs([text])
+        own = found.text == 1
+        assert sorted(zip(alone.start, alone.length, alone.content, strict=True)) == sorted(zip(found.start[own], found.length[own], found.content[own], strict=True))
+
+
+def test_paragraphs_by_hand():
+    """Places, contents and band keys against the plain definitions."""
+    from tidemark.llm.common import mix, shingle_hashes, word_hashes
+
+    rng = random.Random(9)
+    texts = ["\n".join(" ".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(0, 60))) for _ in range(rng.randrange(6))).encode() for _ in range(40)] + [b"", b"a " * 300]
+    p = substring_dedup.paragraphs(texts)
+    near = len(p.text) - len(p.keys[0])
+    by_words = {}
+    for k, (t, a, n, c) in enumerate(zip(p.text, p.start, p.length, p.content, strict=True)):
+        w = texts[t].split()[a : a + n]
+        assert len(w) == n and by_words.setdefault(tuple(w), c) == c
+        if k >= near:
+            assert n >= 24
+            s = shingle_hashes(word_hashes([b" ".join(w)])[0], 5)
+            for band, keys in enumerate(p.keys):
+                turn = mix(np.array([1 + band], np.uint64))[0] | np.uint64(1)
+                x = s * turn
+                assert mix(np.uint64(band + 1) + np.array([(x ^ (x >> np.uint64(29))).min()]))[0] == keys[k - near]
+    assert len(set(by_words.values())) == len(by_words)
+    lines = {(t, tuple(line.split())) for t, text in enumerate(texts) for line in text.split(b"\n") if 24 <= len(line.split()) <= 256}
+    assert lines <= {(t, tuple(texts[t].split()[a : a + n])) for t, a, n in zip(p.text, p.start, p.length, strict=True)}
 
 
 def passage_model(rows):
-    """What goes and who keeps it: all pairs of paragraph contents that meet in a band, for texts of one paragraph each."""
-    from tidemark.llm.common import word_hashes
-
-    low, sets, bands = {}, {}, defaultdict(set)
+    """What goes and who keeps it: all pairs of line contents that meet in a band, for texts of one line each."""
+    low, sets, bands, own = {}, {}, defaultdict(set), {}
     for i, t in rows:
-        _, content, shingles = substring_dedup.paragraphs(word_hashes([t.encode()])[0])
-        c = int(content[0])
-        low[c], sets[c] = min(i, low.get(c, i)), set(shingles[0].tolist())
-        for b, keys in enumerate(substring_dedup.band_keys(shingles)):
-            bands[b, int(keys[0])].add(c)
+        p = substring_dedup.paragraphs([t.encode()])
+        near = len(p.text) - len(p.keys[0])
+        k = next(k for k in range(near, len(p.text)) if p.length[k] == len(t.split()))
+        c, w = int(p.content[k]), t.split()
+        own[i] = c
+        low[c], sets[c] = min(i, low.get(c, i)), {tuple(w[x : x + 5]) for x in range(len(w) - 4)}
+        for b, keys in enumerate(p.keys):
+            bands[b, int(keys[k - near])].add(c)
     root = {c: c for c in low}
 
     def find(c):
@@ -257,8 +326,7 @@ def passage_model(rows):
     keep = {}
     for c, i in low.items():
         keep[find(c)] = min(i, keep.get(find(c), i))
-    owner = {i: keep[find(int(substring_dedup.paragraphs(word_hashes([t.encode()])[0])[1][0]))] for i, t in rows}
-    return {i: k for i, k in owner.items() if i != k}
+    return {i: keep[find(c)] for i, c in own.items() if keep[find(c)] != i}
 
 
 @pytest.mark.parametrize("block", [4096, 7])
@@ -268,8 +336,8 @@ def test_every_pair_that_meets_in_a_band_is_tried(spark, monkeypatch, block):
     rng = random.Random(7)
     phrase, texts = prose(rng, 15), []
     for _ in range(150):
-        base = [*prose(rng, 5), *phrase, *prose(rng, 4)]
-        texts += [base, [*base[:-1], "edit"]]
+        base = [*prose(rng, 12), *phrase, *prose(rng, 12)]
+        texts += [base, [*base[:-2], "edit", "more"]]
     texts += texts[:3]
     rows = list(enumerate(" ".join(t) for t in texts))
     want = passage_model(rows)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.durable import durable, shared_dir
+from tidemark.operators.durable import durable, shared_dir, tidy
 from tidemark.session import ship
 
 __all__ = ["durable", "shared_dir"]
@@ -41,7 +41,8 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        with tidy(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -132,8 +133,9 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, 0xD6E8FEB86659FD93, np.uint64)]))
 
 
-def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words `[^\\x20\\x09-\\x0D]+` of the texts, A-Z lower-cased if fold, and where each text's words start (len(texts) + 1 offsets)."""
+def word_hashes(texts: list[bytes], fold: bool = True, places: bool = False) -> tuple[np.ndarray, ...]:
+    """64-bit hashes of the words `[^\\x20\\x09-\\x0D]+` of the texts, A-Z lower-cased if fold, and where each text's words start (len(texts) + 1 offsets);
+    with places also where each word begins in the texts joined by line ends."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     if fold:
         data = _FOLD[data]
@@ -146,13 +148,14 @@ def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.n
     text_ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
     offsets = np.concatenate([[0], np.searchsorted(starts, text_ends)])
     if not len(starts):
-        return np.zeros(0, np.uint64), offsets
+        return (np.zeros(0, np.uint64), offsets, starts) if places else (np.zeros(0, np.uint64), offsets)
     lengths = ends - starts
     inside = ~space
     at = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     longest = int(lengths.max())
     codes = _byte_codes()[data[inside]] * _powers(1 << max(6, (longest - 1).bit_length()))[at]
-    return mix(np.add.reduceat(codes, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64) * _STEP), offsets
+    hashes = mix(np.add.reduceat(codes, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64) * _STEP)
+    return (hashes, offsets, starts) if places else (hashes, offsets)
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -191,6 +194,28 @@ def text_blocks(batches):
             yield from blocks(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist())
 
 
+def whole_groups(batches, key: str, rows: int = 4096):
+    """Tables of about `rows` rows of batches sorted by `key`, with all rows of each key in one table."""
+    held, n = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = table.column(key).to_numpy()
+        last = int(np.searchsorted(keys == keys[-1], True))
+        if last:
+            yield table.slice(0, last)
+            table = pa.Table.from_batches(table.slice(last).to_batches())
+        held, n = table.to_batches(), table.num_rows
+        rows = max(rows, 2 * n)  # a long group isn't put together again for every batch
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -10,20 +12,29 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, durable, mapped, mix, shingle_hashes, signed, small_side, text_blocks, word_hashes
+from tidemark.llm.common import MASK, Scratch, blocks, durable, mapped, mix, shingle_hashes, signed, small_side, text_blocks, whole_groups, word_hashes
 from tidemark.operators.components import connected_components
 
-#: Words of a paragraph, and starts of which one is chosen: every passage of LENGTH + CHOICE - 1 = 50 words holds a paragraph.
+#: Words of a window, and starts of which one is chosen: every passage of LENGTH + CHOICE - 1 = 50 words holds a window.
 LENGTH, CHOICE = 24, 27
 #: Chunks run from one anchor to the first that stands SPAN words on; an anchor has the smallest shingle hash of the REACH on either side.
-SPAN, REACH = 48, 12
+SPAN, REACH = 48, 16
+#: The longest line, in words, that is a paragraph; longer ones have chunks only.
+LONGEST_LINE = 256
 #: Words of a shingle, the least similarity in percent, and the recall that the bands are tuned for.
 SHINGLE, PERCENT, RECALL = 5, 80, 0.99
-#: Rows of two hashes that may be broadcast: some tens of megabytes.
+#: Words on either side of a passage that are compared: fewer than CHOICE can lie beyond a passage's last window.
+CONTEXT = 32
+#: Rows of four numbers that may be broadcast: some tens of megabytes.
 BROADCAST_ROWS = 1_000_000
-#: Contents of a band that a block of its pairs holds against all others.
-BLOCK = 4096
+#: Contents of a band that are held against each other at once; more are dealt in blocks of as many.
+BLOCK = 16_384
+#: Contents of a group up to which all of its pairs are made at once, and members of pairs that are compared at once.
+SMALL_GROUP, COMPARED = 16, 4_000_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_TOP = np.uint64(MASK)
+_PLACE = np.uint64((1 << 31) - 1)
+_BASE = 0x9FB21C651E98DF25
 
 
 def tune_bands(similarity: float, recall: float, most_bands: int = 3) -> tuple[int, int]:
@@ -39,32 +50,92 @@ def tune_bands(similarity: float, recall: float, most_bands: int = 3) -> tuple[i
 
 
 BANDS, ROWS = tune_bands(PERCENT / 100, RECALL)
-
-
-def starts(shingles: np.ndarray, words: int) -> np.ndarray:
-    """Where paragraphs start: at the smallest shingle hash of any CHOICE neighbouring starts. Which start that is depends on the
-    words of the passage alone, so copies of a passage are parted alike wherever they stand."""
-    places = words - LENGTH + 1
-    if places <= 0:
-        return np.zeros(0, np.int64)
-    order = mix(shingles[:places])
-    if places <= CHOICE:
-        return np.array([int(order.argmin())])
-    seen = np.lib.stride_tricks.sliding_window_view(order, CHOICE)
-    return np.unique(seen.argmin(axis=1) + np.arange(len(seen)))
-
-
-def paragraphs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, hashes of the words, and shingles (a row for each) of a text's paragraphs. Of a run of overlapping equal ones, every LENGTH-th word starts one."""
-    shingles = shingle_hashes(hashes, SHINGLE)
-    at = starts(shingles, len(hashes))
-    if not len(at):
-        return at, np.zeros(0, np.uint64), np.zeros((0, LENGTH - SHINGLE + 1), np.uint64)
-    weights = mix(np.arange(1, LENGTH + 1, dtype=np.uint64)) | np.uint64(1)
-    content = mix((hashes[at[:, None] + np.arange(LENGTH)] * weights).sum(axis=1, dtype=np.uint64))
-    keep = apart(at, content, np.full(len(at), LENGTH))
-    at, content = at[keep], content[keep]
-    return at, content, shingles[at[:, None] + np.arange(LENGTH - SHINGLE + 1)]
+KEYS = [f"b{i}" for i in range(BANDS)]
+
+
+# -- paragraphs of a block of texts
+
+
+@lru_cache(maxsize=2)
+def _base_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of an odd number modulo 2^64, and of its inverse."""
+    make = lambda x: np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]))
+    return make(_BASE), make(pow(_BASE, -1, 1 << 64))
+
+
+class Words:
+    """The word and shingle hashes of a block of texts, one text after the other."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        self.texts = texts
+        self.hashes, self.offsets, self.begins = word_hashes(texts, places=True)
+        n = len(self.hashes)
+        self.text = np.repeat(np.arange(len(texts)), np.diff(self.offsets))
+        self.room = self.offsets[1:][self.text] - np.arange(n)  # words from here to the end of the text
+        self.shingles = np.zeros(n, np.uint64)
+        if n >= SHINGLE:
+            self.shingles[: n - SHINGLE + 1] = shingle_hashes(self.hashes, SHINGLE)
+
+    def contents(self, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """A hash of the words of each range: a difference of prefix sums, so ranges of any length cost the same."""
+        n = len(self.hashes)
+        power, inverse = _base_powers(1 << max(10, n.bit_length()))
+        upto = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.hashes * power[:n], out=upto[1:])
+        return mix((upto[first + length] - upto[first]) * inverse[first] + mix(length.astype(np.uint64)))
+
+
+def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
+    """The minimum of every `width` neighbours."""
+    have = 1
+    while have < width and len(x):
+        step = min(have, width - have)
+        x, have = np.minimum(x[:-step], x[step:]), have + step
+    return x
+
+
+def windows(w: Words) -> np.ndarray:
+    """Where windows of LENGTH words start: at the smallest shingle hash of any CHOICE neighbouring starts. Which start that is depends on the
+    words of the passage alone, so copies of a passage are parted alike wherever they stand. A text with fewer starts has one window."""
+    n = len(w.hashes)
+    key = np.where(w.room >= LENGTH, (mix(w.shingles) & ~_PLACE) | np.arange(n, dtype=np.uint64), _TOP)
+    least = sliding_minimum(key, CHOICE)
+    found = least[w.room[: len(least)] >= LENGTH + CHOICE - 1]
+    starts = np.diff(w.offsets) - LENGTH + 1
+    short = np.flatnonzero((starts > 0) & (starts < CHOICE))
+    if len(short):
+        at = w.offsets[:-1][short]
+        found = np.append(found, np.minimum.reduceat(key, np.stack([at, at + starts[short]], 1).ravel())[::2])
+    return np.unique(found & _PLACE).astype(np.int64)
+
+
+def chunks(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the larger paragraphs that the words place: from each anchor to the end of a later one's shingle."""
+    n = len(w.hashes)
+    if n < SHINGLE:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    place = np.arange(n) + (w.text + 1) * REACH  # texts stand apart
+    order = np.full(int(place[-1]) + REACH + 1, _TOP)
+    own = mix(w.shingles ^ np.uint64(_BASE))
+    whole = w.room >= SHINGLE
+    order[place[whole]] = own[whole]
+    least = sliding_minimum(order, 2 * REACH + 1)
+    at = np.flatnonzero(whole & (own == least[place - REACH]))
+    apart_by_text = at + (w.text[at] << 32)
+    to = np.searchsorted(apart_by_text, apart_by_text + SPAN)
+    ok = to < len(at)
+    ok[ok] = w.text[at[to[ok]]] == w.text[at[ok]]
+    return at[ok], at[to[ok]] - at[ok] + SHINGLE
+
+
+def lines(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the lines of LENGTH to LONGEST_LINE words."""
+    ends = np.flatnonzero(np.frombuffer(b"\n".join(w.texts), np.uint8) == 10)
+    line = np.searchsorted(ends, w.begins)
+    first = np.flatnonzero(np.diff(line, prepend=-1))
+    length = np.diff(np.append(first, len(line)))
+    ok = (length >= LENGTH) & (length <= LONGEST_LINE)
+    return first[ok], length[ok]
 
 
 def apart(at: np.ndarray, content: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -75,226 +146,264 @@ def apart(at: np.ndarray, content: np.ndarray, length: np.ndarray) -> np.ndarray
     return ~again | ((at - run) % np.maximum(length, 1) == 0)
 
 
-def ranges(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The indices of ranges, one after the other, and where each range begins among them."""
-    first = np.cumsum(lengths) - lengths
-    return np.arange(int(lengths.sum())) + np.repeat(starts - first, lengths), first
+def range_minimum(x: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The minimum of x over each range, from tables of the minima of 1, 2, 4, ... neighbours."""
+    level = np.frexp(count.astype(float))[1] - 1
+    out, width = np.zeros(len(first), x.dtype), 1
+    for k in range(int(level.max(initial=-1)) + 1):
+        own = level == k
+        a = first[own]
+        out[own] = np.minimum(x[a], x[a + count[own] - width])
+        x, width = np.minimum(x[:-width], x[width:]), 2 * width
+    return out
 
 
-def chunks(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of the larger paragraphs that the words place: from each anchor to the end of a later one's shingle."""
-    order = np.full(len(shingles) + 2 * REACH, np.iinfo(np.uint64).max, np.uint64)
-    order[REACH : REACH + len(shingles)] = mix(shingles)
-    least, width = order, 1
-    while width <= 2 * REACH:
-        step = min(width, 2 * REACH + 1 - width)
-        least, width = np.minimum(least[:-step], least[step:]), width + step
-    at = np.flatnonzero(order[REACH : REACH + len(shingles)] == least)
-    to = np.searchsorted(at, at + SPAN)
-    ends = at[to[to < len(at)]]
-    at = at[: len(ends)]
-    return at, ends - at + SHINGLE
-
-
-def lines_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths, in words, of a text's lines."""
-    length = np.array([len(line.split()) for line in text.split(b"\n")], np.int64)
-    return np.cumsum(length) - length, length
-
-
-def units(hashes: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, hashes of the words, shingles (one after the other) and lengths of all paragraphs of a text: its windows of LENGTH
-    words, its lines of as many words or more, and its chunks."""
-    at, content, rows = paragraphs(hashes)
-    shingles = shingle_hashes(hashes, SHINGLE)
-    starts, lengths = lines_of(text)
-    whole = lengths >= LENGTH
-    begin, size = (np.concatenate(x) for x in zip((starts[whole], lengths[whole]), chunks(shingles), strict=True))
-    if not len(begin):
-        return at, content, rows.ravel(), np.full(len(at), LENGTH)
-    inside, first = ranges(begin, size)
-    weights = mix(np.arange(1, int(size.max()) + 1, dtype=np.uint64)) | np.uint64(1)
-    more = mix(np.add.reduceat(hashes[inside] * weights[inside - np.repeat(begin, size)], first))
-    n = int(whole.sum())
-    keep = np.append(np.ones(n, bool), apart(begin[n:], more[n:], size[n:]))
-    begin, size, more = begin[keep], size[keep], more[keep]
-    inside, _ = ranges(begin, size - SHINGLE + 1)
-    return np.append(at, begin), np.append(content, more), np.append(rows.ravel(), shingles[inside]), np.append(np.full(len(at), LENGTH), size)
-
-
-def band_keys(shingles: np.ndarray, first: np.ndarray | None = None) -> list[np.ndarray]:
-    """A key for each band and paragraph, from the smallest of ROWS permuted shingle hashes. shingles: a row for each paragraph, or
-    one after the other with the place of each one's first."""
-    if first is None:
-        first, shingles = np.arange(len(shingles)) * shingles.shape[1], shingles.ravel()
+def band_keys(shingles: np.ndarray, first: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    """A key for each band and range of shingles, from the smallest of ROWS permuted shingle hashes."""
     out = []
     for band in range(BANDS):
         key = np.full(len(first), band + 1, np.uint64)
         for row in range(ROWS):
             turn = mix(np.array([1 + band * ROWS + row], np.uint64))[0] | np.uint64(1)
-            key = mix(key + mixed_minimum(shingles, first, turn))
+            x = shingles * turn
+            key = mix(key + range_minimum(x ^ (x >> np.uint64(29)), first, count))
         out.append(key)
     return out
 
 
-def mixed_minimum(shingles: np.ndarray, first: np.ndarray, turn: np.uint64) -> np.ndarray:
-    x = shingles * turn
-    return np.minimum.reduceat(x ^ (x >> np.uint64(29)), first) if len(first) else np.zeros(0, np.uint64)
-
-
-def _plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+@dataclass
+class Paragraphs:
+    """text: the number of each paragraph's text; start: its first word there; the last len(keys[0]) ones have band keys."""
 
+    text: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    content: np.ndarray
+    keys: list[np.ndarray]
 
-def _parted(batches):
-    for ids, texts in text_blocks(batches):
-        hashes, offsets = word_hashes(texts)
-        for i, text, a, b in zip(ids, texts, offsets[:-1], offsets[1:], strict=True):
-            if b - a >= LENGTH:
-                yield i, text, *units(hashes[a:b], text)
 
+def paragraphs(texts: list[bytes]) -> Paragraphs:
+    """All paragraphs of a block of texts: windows, of which only equal ones are linked, then lines and chunks, which have band keys."""
+    w = Words(texts)
 
-def _in_batches(rows, make, size: int = 20_000):
-    """Record batches of about `size` paragraphs. rows: tuples whose first array tells their number."""
-    held, n = [], 0
-    for row in rows:
-        held.append(row)
-        n += len(row[2])
-        if n >= size:
-            yield make(held)
-            held, n = [], 0
-    if held:
-        yield make(held)
+    def placed(at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        content = w.contents(at, length)
+        keep = apart(at + (w.text[at] << 32), content, length)
+        return at[keep], length[keep], content[keep]
 
+    at = windows(w) if len(w.hashes) else np.zeros(0, np.int64)
+    parts = [placed(at, np.full(len(at), LENGTH)), placed(*lines(w)), placed(*chunks(w))]
+    near_at, near_length = (np.concatenate([p[i] for p in parts[1:]]) for i in (0, 1))
+    at, length, content = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    return Paragraphs(w.text[at], at - w.offsets[w.text[at]], length, content, band_keys(w.shingles, near_at, near_length - SHINGLE + 1))
 
-def bitmap(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """64 bits for each paragraph, one set for every shingle. Sets that differ in d members have bitmaps that differ in d bits at most."""
-    return np.bitwise_or.reduceat(np.uint64(1) << (shingles >> np.uint64(58)), first) if len(first) else np.zeros(0, np.uint64)
 
+def text_mark(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
-def _distinct(held) -> tuple[np.ndarray, ...]:
-    """Of the contents of held paragraphs, sorted: content, the smallest and the largest doc_id, the number of shingles, and these, one after the other."""
-    ids = np.concatenate([np.full(len(h[2]), h[0], np.int64) for h in held])
-    content, shingles, size = (np.concatenate([h[k] for h in held]) for k in (3, 4, 5))
-    size = size - SHINGLE + 1
-    begin = np.cumsum(size) - size
-    order = np.lexsort((ids, content))
-    ids, content = ids[order], content[order]
-    first = np.flatnonzero(np.append(True, content[1:] != content[:-1]))
-    size, begin = size[order[first]], begin[order[first]]
-    return content[first], ids[first], ids[np.append(first[1:], len(ids)) - 1], size, shingles[ranges(begin, size)[0]]
 
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
 
-def paragraph_bands(docs: DataFrame) -> DataFrame:
-    """A row for each band of each content that a task meets in a large run of its texts: band, content, bits, low (the smallest
-    doc_id) and shared (whether another doc_id has it too). Copies are combined before anything moves."""
 
-    def make(held):
-        content, low, high, size, shingles = _distinct(held)
-        first = np.cumsum(size) - size
-        columns = [signed(content), signed(bitmap(shingles, first)), size.astype(np.int32), low, low != high]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([signed(k) for k in band_keys(shingles, first)])), *[pa.array(np.tile(c, BANDS)) for c in columns]], names=["band", "content", "bits", "n", "low", "shared"])
+def paragraph_table(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (a hash of the text), start, length, content and band keys (null for windows) of all paragraphs."""
 
-    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make, 100_000), "band long, content long, bits long, n int, low long, shared boolean")
+    def run(batches):
+        for ids, texts in text_blocks(batches):
+            p = paragraphs(texts)
+            marks = np.array([text_mark(t) for t in texts], np.int64)
+            n = len(p.text)
+            bare = np.arange(n) < n - len(p.keys[0])
+            keys = [pa.array(signed(np.append(np.zeros(n - len(k), np.uint64), k)), mask=bare) for k in p.keys]
+            columns = [pa.array(np.array(ids, np.int64)[p.text]), pa.array(marks[p.text]), pa.array(p.start.astype(np.int32)), pa.array(p.length.astype(np.int32)), pa.array(signed(p.content)), *keys]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "start", "length", "content", *KEYS])
 
+    return mapped(_plain(docs), run, "doc_id long, mark long, start int, length int, content long, " + ", ".join(f"{k} long" for k in KEYS))
 
-def paragraph_places(docs: DataFrame) -> DataFrame:
-    def make(held):
-        ids, marks = (np.concatenate([np.full(len(h[2]), f(h), np.int64) for h in held]) for f in (lambda h: h[0], lambda h: text_mark(h[1])))
-        start, length = (np.concatenate([h[k] for h in held]).astype(np.int32) for k in (2, 5))
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks), pa.array(start), pa.array(length), pa.array(signed(np.concatenate([h[3] for h in held])))], names=["doc_id", "mark", "start", "length", "content"])
 
-    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make), "doc_id long, mark long, start int, length int, content long")
+# -- texts of some documents again
 
 
-def paragraph_shingles(docs: DataFrame) -> DataFrame:
-    def make(held):
-        content, _, _, size, shingles = _distinct(held)
-        offsets = np.append(0, np.cumsum(size)).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(signed(content)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(shingles)))], names=["content", "members"])
+def asked_texts(docs: DataFrame, asked: DataFrame, fields: list[str], answer, schema: str) -> DataFrame:
+    """What `answer` makes of the texts of which `asked` (doc_id, mark and whole numbers, `fields`) has rows. It gets the words of a block of
+    texts, the number of each row's text, and the rows as arrays. Texts move once; a doc_id with many texts is split by Spark's skew join."""
+    one = asked.groupBy("doc_id", "mark").agg(F.collect_list(F.struct(*[F.col(f).cast("long").alias(f) for f in fields])).alias("asked"))
+    both = _plain(docs).join(one, "doc_id").select("doc_id", "text", "mark", "asked")
 
-    return mapped(_plain(docs), lambda batches: _in_batches(_parted(batches), make), "content long, members array<long>")
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                marks, lists = part.column(2).to_pylist(), part.column(3)
+                counts = lists.value_lengths().to_numpy()
+                ends = np.cumsum(counts)
+                flat = lists.flatten()
+                values = [flat.field(i).to_numpy() for i in range(len(fields))]
+                own = [i for i, t in enumerate(texts) if t is not None and text_mark(t) == marks[i]]
+                for rows, some in blocks(own, [texts[i] for i in own]):
+                    n = counts[rows].astype(np.int64)
+                    taken, text = ranges(ends[rows] - n, n), np.repeat(np.arange(len(rows)), n)
+                    yield answer(Words(some), text, *[v[taken] for v in values])
+
+    return mapped(both, run, schema)
+
+
+def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The indices of ranges, one after the other."""
+    return np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+
+
+def members_of(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """content and members (its distinct shingle hashes as sorted unsigned 32-bit integers) of places (doc_id, mark, start, length, content)."""
+
+    def answer(w, text, start, length, content):
+        first, count = w.offsets[text] + start, length - SHINGLE + 1
+        owner = np.repeat(np.arange(len(first), dtype=np.uint64), count)
+        pairs = np.unique(owner << np.uint64(32) | w.shingles[ranges(first, count)] >> np.uint64(32))
+        n = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(first))
+        offsets = np.append(0, 4 * np.cumsum(n)).astype(np.int32)
+        data = (pairs & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+        members = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays([pa.array(content, pa.int64()), members], names=["content", "members"])
+
+    return asked_texts(docs, places, ["start", "length", "content"], answer, "content long, members binary")
+
+
+# -- pairs that meet in a band
+
+
+class Held:
+    """Contents with their members, as arrays: rows of a table sorted by group."""
+
+    def __init__(self, table: pa.Table) -> None:
+        column = lambda name: table.column(name).to_numpy()
+        self.group, self.content, self.low = column("group"), column("content"), column("low")
+        self.left, self.component = column("left_side"), column("component")
+        members = table.column("members").to_pylist()
+        self.n = np.array([len(m) // 4 for m in members], np.int64)
+        self.first = np.cumsum(self.n) - self.n
+        self.members = np.frombuffer(b"".join(members), "<u4")
+        bit = np.uint64(1) << (self.members >> np.uint32(26)).astype(np.uint64)
+        more = np.uint64(1) << (self.members >> np.uint32(20) & np.uint32(63)).astype(np.uint64)
+        self.bits = [np.bitwise_or.reduceat(b, self.first) for b in (bit, more)]
+
+    def possible(self, i, j) -> np.ndarray:
+        """Whether pairs can have the similarity: sets of m and n members that have it differ in (m + n) / 9 of them at most, and so do their
+        bitmaps. Contents with the same smallest doc_id are no pair: neither could make the other go."""
+        most = (100 - PERCENT) * (self.n[i] + self.n[j])
+        ok = (self.low[i] != self.low[j]) & ((100 + PERCENT) * abs(self.n[i] - self.n[j]) <= most)
+        for bits in self.bits:
+            ok = ok & ((100 + PERCENT) * np.bitwise_count(bits[i] ^ bits[j]).astype(np.int64) <= most)
+        return ok
+
+    def similar(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether pairs have the similarity, by the exact size of their sets' intersection."""
+        out = np.zeros(len(i), bool)
+        size = self.n[i] + self.n[j]
+        cut = np.flatnonzero(np.diff((np.cumsum(size) - 1) // COMPARED, prepend=0, append=-1)) if len(i) else []
+        for a, b in zip([0, *cut], cut, strict=False):
+            x, y, total = i[a:b], j[a:b], size[a:b]
+            if not len(x):
+                continue
+            owner = np.repeat(np.arange(len(x), dtype=np.uint64), 2)
+            sides = np.stack([x, y], 1).ravel()
+            keys = np.repeat(owner, self.n[sides]) << np.uint64(32) | self.members[ranges(self.first[sides], self.n[sides])].astype(np.uint64)
+            keys.sort()
+            shared = np.bincount((keys[1:][keys[1:] == keys[:-1]] >> np.uint64(32)).astype(np.int64), minlength=len(x))
+            out[a:b] = (100 + PERCENT) * shared >= PERCENT * total
+        return out
+
+
+def links_within(held: Held, sided: bool = False):
+    """Pairs of contents that have the similarity, enough of them that every such pair of a group stands in one piece. Pairs of small groups are all
+    compared at once; in larger ones each content is held against those that aren't joined to it yet, so at most one link for each content goes out.
+
+    sided: each content of a group's left side against those of its other side, in other components so far."""
+    begin = np.flatnonzero(np.diff(held.group, prepend=held.group[0] - 1))
+    size = np.diff(np.append(begin, len(held.group)))
+    a, b = [], []
+    small = np.repeat((size <= SMALL_GROUP) & (not sided), size)
+    for step in range(1, SMALL_GROUP):
+        i = np.flatnonzero(small[:-step] & small[step:] & (held.group[:-step] == held.group[step:])) if len(small) > step else np.zeros(0, np.int64)
+        if not len(i):
+            break
+        i = i[held.possible(i, i + step)]
+        ok = held.similar(i, i + step)
+        a.append(held.content[i[ok]])
+        b.append(held.content[i[ok] + step])
+    for first, n in zip(begin[~small[begin]].tolist(), size[~small[begin]].tolist(), strict=True):
+        rows = np.arange(first, first + n)
+        joined = held.component[rows].copy() if sided else np.arange(n)
+        for k in np.flatnonzero(held.left[rows]).tolist() if sided else range(n - 1):
+            other = np.flatnonzero(~held.left[rows] & (joined != joined[k])) if sided else k + 1 + np.flatnonzero(joined[k + 1 :] != joined[k])
+            other = other[held.possible(first + k, first + other)]
+            other = other[held.similar(np.full(len(other), first + k), first + other)]
+            # one link for each component that the content meets
+            _, at = np.unique(joined[other], return_index=True)
+            for o in other[at]:
+                a.append(held.content[first + k : first + k + 1])
+                b.append(held.content[first + o : first + o + 1])
+                joined[joined == joined[o]] = joined[k]
+    return (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+
+
+def group_links(rows: DataFrame, members: DataFrame, sided: bool = False) -> DataFrame:
+    """Links a, b of contents in the same group. rows: band, one and two (the blocks that meet), left_side, content, low, component."""
+    full = rows.join(members, "content").withColumn("group", F.xxhash64("band", "one", "two"))
+    dealt = full.repartition("group").sortWithinPartitions("group", F.desc(F.length("members")), "content").select("group", "content", "low", "left_side", "component", "members")
 
+    def run(batches):
+        for table in whole_groups(batches, "group"):
+            a, b = links_within(Held(table), sided)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-def text_mark(text: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+    return mapped(dealt, run, "a long, b long")
 
 
-def band_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """A row for each band of each content: band, content, bits, n (its shingles), low (the smallest doc_id that holds it) and shared (whether
-    several do). Bands in which nothing is shared and all contents have one smallest doc_id are left out: they have no links."""
+def live_bands(contents: DataFrame, scratch: Scratch) -> DataFrame:
+    """A row for each band of each content (band, content, low, c: the band's contents) where contents of different smallest doc_ids meet; others have no
+    links. Of bands with the very same contents one is left: near copies meet in most of their bands."""
     own = Window.partitionBy("band")
-    rows = paragraph_bands(docs).repartition("band").groupBy("band", "content").agg(F.first("bits").alias("bits"), F.first("n").alias("n"), F.min("low").alias("low"), F.max("low").alias("high"), F.max("shared").alias("shared"))
-    rows = rows.select("band", "content", "bits", "n", "low", (F.col("shared") | (F.col("low") != F.col("high"))).alias("shared"))
-    rows = rows.withColumn("least", F.min("low").over(own)).withColumn("most", F.max("low").over(own))
-    return scratch.save(rows.where("shared or least <> most").drop("least", "most"), "bands")
-
-
-def may_be_near(bits, n, low, other_bits, other_n, other_low):
-    """Whether two contents can be a pair. Those whose smallest doc_id is the same are none: neither could make the other go, and
-    neighbouring paragraphs of one text are alike all the time. Sets of m and n shingles with a Jaccard similarity of 0.8
-    differ in (m + n) / 9 members at most, and so do their bitmaps."""
-    return (low != other_low) & ((100 + PERCENT) * F.bit_count(bits.bitwiseXOR(other_bits)) <= (100 - PERCENT) * (n + other_n))
-
-
-def first_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of contents that can be near, each with the one before it and the first of its band: as many as a band is long."""
-    own = Window.partitionBy("band").orderBy("content")
-    one = F.struct("content", "bits", "n", "low")
-    rows = rows.withColumn("before", F.lag(one).over(own)).withColumn("top", F.first(one).over(own))
-    near = lambda o: (o["content"] != F.col("content")) & may_be_near(F.col("bits"), F.col("n"), F.col("low"), o["bits"], o["n"], o["low"])
-    others = F.array(*[F.when(near(F.col(o)), F.col(o)["content"]) for o in ("before", "top")])
-    pairs = rows.select("content", F.explode(F.array_distinct(F.array_compact(others))).alias("other"))
-    return pairs.select(F.least("content", "other").alias("a"), F.greatest("content", "other").alias("b")).distinct()
-
-
-def remaining_pairs(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """Every pair that can be near of contents that meet in a band and are in different components so far. Contents outside a band's
-    largest component are held against all of the band; a long band is dealt in blocks, so no task holds all of its pairs."""
-    placed = rows.join(parts, F.col("content") == F.col("node"), "left").withColumn("component", F.coalesce("component", "content")).drop("node", "shared")
-    placed = durable(placed)
-    sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("c"))
-    # `first_pairs` has tried every pair of three contents
-    mixed = sizes.groupBy("band").agg(F.max_by("component", F.struct("c", "component")).alias("largest"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k")).where("k > 1 and all > 3")
-    placed = placed.join(mixed.select("band", "largest", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")), "band")
-    left = placed.where("component <> largest").withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")).alias("l")
-    right = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("r")
-    once = (F.col("r.component") == F.col("l.largest")) | (F.col("l.content") < F.col("r.content"))
-    on = (F.col("l.band") == F.col("r.band")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.component") != F.col("r.component")) & once
-    pairs = left.join(right, on & may_be_near(F.col("l.bits"), F.col("l.n"), F.col("l.low"), F.col("r.bits"), F.col("r.n"), F.col("r.low")))
-    return pairs.select(F.least("l.content", "r.content").alias("a"), F.greatest("l.content", "r.content").alias("b")).distinct()
-
-
-def near_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Links of contents that have the similarity, so many that no pair that meets in a band and has it is left between components."""
-    first = durable(first_pairs(rows))
-    links = durable(verified(docs, first)) if first.limit(1).count() else first
-    rest = durable(remaining_pairs(rows, connected_components(links)).join(first, ["a", "b"], "left_anti"))
-    return links.unionByName(durable(verified(docs, rest))) if rest.limit(1).count() else links
-
-
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs of contents whose shingle sets have the similarity."""
-    wanted = durable(pairs.select(F.col("a").alias("content")).unionByName(pairs.select(F.col("b").alias("content"))).distinct())
-    members = durable(paragraph_shingles(docs).join(small_side(wanted, BROADCAST_ROWS), "content", "left_semi").groupBy("content").agg(F.max("members").alias("members")))
-    both = pairs.join(members.select(F.col("content").alias("a"), F.array_distinct("members").alias("x")), "a").join(members.select(F.col("content").alias("b"), F.array_distinct("members").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where((100 + PERCENT) * shared >= PERCENT * (F.size("x") + F.size("y"))).select("a", "b")
-
-
-def agreement(a: np.ndarray, b: np.ndarray, start: int, end: int) -> tuple[int, int]:
-    """The span of a's words from start to end, as far beyond both ends as b's words agree. b is aligned at each place where it has
-    the first (for the left end) or last (for the right end) shingle of the span; the longest agreement counts."""
-
-    def run(x: np.ndarray, y: np.ndarray) -> int:
-        n = min(len(x), len(y))
-        same = x[:n] == y[:n]
-        return n if same.all() else int(same.argmin())
-
-    ours, theirs = shingle_hashes(a, SHINGLE), shingle_hashes(b, SHINGLE)
-    left = max((run(a[:start][::-1], b[:k][::-1]) for k in np.flatnonzero(theirs == ours[start])), default=0)
-    right = max((run(a[end:], b[k + SHINGLE :]) for k in np.flatnonzero(theirs == ours[end - SHINGLE])), default=0)
-    return start - left, end + right
+    rows = contents.where(f"{KEYS[0]} is not null").select(F.explode(F.array(*KEYS)).alias("band"), "content", "low")
+    rows = rows.withColumn("least", F.min("low").over(own)).withColumn("most", F.max("low").over(own)).withColumn("c", F.count(F.lit(1)).over(own))
+    rows = rows.withColumn("own", F.bit_xor(F.xxhash64("content")).over(own)).where("least <> most")
+    rows = scratch.save(rows.select("band", "content", "low", "c", "own"), "live")
+    first = rows.groupBy("band", "c", "own").agg(F.lit(1).alias("one")).groupBy("c", "own").agg(F.min("band").alias("band"))
+    return rows.join(first.select("band"), "band", "left_semi").select("band", "content", "low", "c")
+
+
+def near_links(docs: DataFrame, table: DataFrame, contents: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links of contents that have the similarity: every pair that meets in a band and has it stands in one component.
+
+    A band of up to BLOCK contents is one group. Longer ones are dealt in blocks: first each block by itself; then, with what that has joined, the
+    contents outside the band's largest component, in blocks, against all blocks. No task holds more than two blocks, and only
+    links that join something leave it."""
+    rows = scratch.save(live_bands(contents, scratch).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn("one", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")), "bands")
+    scratch.drop("live")
+    # a content's place in its smallest doc_id: joined by both, so that the copies of a content don't meet in one task
+    wanted = rows.select("content", F.col("low").alias("doc_id")).distinct()
+    places = table.where(f"{KEYS[0]} is not null").join(wanted, ["content", "doc_id"], "left_semi").groupBy("content", "doc_id").agg(F.min(F.struct("mark", "start", "length")).alias("at")).select("doc_id", "at.*", "content")
+    places = scratch.save(places, "places")
+    members = scratch.save(members_of(docs, places).groupBy("content").agg(F.max("members").alias("members")), "members")
+    alone = F.lit(0).cast("long")
+    links = durable(group_links(rows.select("band", "one", F.col("one").alias("two"), F.lit(False).alias("left_side"), alone.alias("component"), "content", "low"), members).distinct())
+    long = rows.where("blocks > 1")
+    if long.limit(1).count():
+        parts = connected_components(links)
+        placed = long.join(parts, F.col("content") == F.col("node"), "left").withColumn("component", F.coalesce("component", "content")).drop("node")
+        placed = durable(placed)
+        sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), (F.sum("n") - F.max("n")).alias("rest")).where("rest > 0")
+        placed = placed.join(sizes.select("band", "largest", F.ceil(F.col("rest") / BLOCK).cast("int").alias("left_blocks")), "band")
+        left = placed.where("component <> largest").select("band", F.pmod(F.xxhash64("content"), F.col("left_blocks")).cast("int").alias("one"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("two"), F.lit(True).alias("left_side"), "component", "content", "low")
+        both = left.unionByName(placed.select("band", F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1)).alias("one"), F.col("one").alias("two"), F.lit(False).alias("left_side"), "component", "content", "low"))
+        links = links.unionByName(durable(group_links(both, members, True).distinct()))
+    scratch.drop("members", "bands", "places")
+    return links
+
+
+# -- what goes
 
 
 def merged(spans: list[tuple]) -> list[tuple]:
@@ -310,76 +419,130 @@ def merged(spans: list[tuple]) -> list[tuple]:
     return out
 
 
-def _spans(rows) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "mark", "start", "end", "component_id", "keep_id"])
+def edge(found: list[tuple], span: tuple, left: bool) -> tuple:
+    """Place and content of the paragraph nearest to a span's end of those that its keeper has word for word; nulls if none is near."""
+    start, end = span[:2]
+    own = [p for p in found if start <= p["start"] < end and p["exact"] and p["keep_id"] == span[3]]
+    if left and (best := min(own, key=lambda p: p["start"], default=None)) and best["start"] - start < CONTEXT:
+        return best["start"], best["content"]
+    if not left and (best := max(own, key=lambda p: p["start"] + p["length"], default=None)) and end - best["start"] - best["length"] < CONTEXT:
+        return best["start"] + best["length"], best["content"]
+    return None, None
+
+
+def spans_of(gone: DataFrame) -> DataFrame:
+    """The paragraphs of each text that go as spans, with the paragraphs at their ends that the keeper has too."""
+    names = ["doc_id", "mark", "start", "end", "component_id", "keep_id", "left_at", "left_content", "right_at", "right_content"]
 
+    def run(batches):
+        for batch in batches:
+            out = []
+            for doc, mark, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                for s in merged([(p["start"], p["start"] + p["length"], p["component_id"], p["keep_id"]) for p in found]):
+                    out.append((doc, mark, *s, *edge(found, s, True), *edge(found, s, False)))
+            columns = list(zip(*out, strict=True)) if out else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    grouped = gone.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "length", "component_id", "keep_id", "content", "exact")).alias("found"))
+    return mapped(grouped, run, ", ".join(f"{n} long" for n in names))
+
+
+def contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """doc_id, mark, at, side, content, keeper and context (hashes of the CONTEXT words from a place outwards) of places in texts."""
+
+    def answer(w, text, doc, mark, at, side, content, keeper):
+        step = np.arange(CONTEXT)
+        place = np.where(side[:, None] == 0, at[:, None] - 1 - step, at[:, None] + step)
+        inside = (place >= 0) & (place < np.diff(w.offsets)[text][:, None])
+        found = (w.hashes[np.where(inside, place + w.offsets[text][:, None], 0)] >> np.uint64(32)).astype(np.uint32) | np.uint32(2)
+        data = np.where(inside, found, keeper[:, None].astype(np.uint32)).astype("<u4").tobytes()  # beyond a text, its numbers equal no other's
+        offsets = (np.arange(len(text) + 1) * 4 * CONTEXT).astype(np.int32)
+        context = pa.Array.from_buffers(pa.binary(), len(text), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in (doc, mark, at, side, content, keeper)], context], names=["doc_id", "mark", "at", "side", "content", "keeper", "context"])
+
+    fields = ["doc", "of", "at", "side", "content", "keeper"]
+    return asked_texts(docs, asked.withColumn("doc", F.col("doc_id")).withColumn("of", F.col("mark")), fields, answer, "doc_id long, mark long, at long, side long, content long, keeper long, context binary")
+
+
+def agreements(docs: DataFrame, spans: DataFrame, places: DataFrame) -> DataFrame:
+    """How many words beyond each end of the spans the texts agree with their keepers': doc_id, mark, at, side, words. Keepers' words move,
+    a few for each content, never their texts; a common content's rows are split by Spark's skew join."""
+    side = lambda at, content, number: spans.select("doc_id", "mark", F.col(at).alias("at"), F.lit(number).alias("side"), F.col(content).alias("content")).where("at is not null")
+    own = durable(side("left_at", "left_content", 0).unionByName(side("right_at", "right_content", 1)).distinct())
+    needed = own.select("content", "side").distinct()
+    kept = places.where("doc_id = keep_id").select("doc_id", "mark", "start", "length", "content").distinct().join(needed, "content")
+    kept = kept.select("doc_id", "mark", (F.col("start") + F.when(F.col("side") == 1, F.col("length")).otherwise(0)).alias("at"), "side", "content")
+    found = durable(contexts(docs, own.withColumn("keeper", F.lit(0)).unionByName(kept.withColumn("keeper", F.lit(1)))))
+    theirs = found.where("keeper = 1").select("content", "side", F.col("context").alias("other")).distinct()
+    both = found.where("keeper = 0").join(theirs, ["content", "side"]).select("doc_id", "mark", "at", "side", "context", "other")
+
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, CONTEXT) for i in (4, 5))
+            same = np.concatenate([a == b, np.zeros((len(a), 1), bool)], axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(same.argmin(axis=1), pa.int64())], names=["doc_id", "mark", "at", "side", "words"])
 
-SPANS = "doc_id long, mark long, start long, end long, component_id long, keep_id long"
+    return mapped(both, run, "doc_id long, mark long, at long, side long, words long").groupBy("doc_id", "mark", "at", "side").agg(F.max("words").alias("words"))
 
 
-def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Repeated paragraphs (doc_id, mark, start, length, component_id, keep_id) as spans that reach as far as the text agrees with its keeper's.
-    Only the texts of these documents and their keepers move."""
-    each = durable(found.groupBy("doc_id", "mark", "keep_id").agg(F.collect_set(F.struct("start", "length", "component_id")).alias("found")))
-    wanted = durable(each.select(F.col("doc_id").alias("id")).unionByName(each.select(F.col("keep_id").alias("id"))).distinct())
-    texts = _plain(docs).join(small_side(wanted, BROADCAST_ROWS), F.col("doc_id") == F.col("id"), "left_semi")
-    both = each.join(texts.withColumnRenamed("text", "own"), "doc_id").join(texts.select(F.col("doc_id").alias("keep_id"), F.col("text").alias("kept")), "keep_id")
+def extended(docs: DataFrame, spans: DataFrame, places: DataFrame) -> DataFrame:
+    """Spans that reach as far as the texts agree with their keepers'; those that then overlap or touch are one."""
+    found = durable(agreements(docs, spans, places))
+    for name, number in (("left", 0), ("right", 1)):
+        one = found.where(F.col("side") == number).select("doc_id", "mark", F.col("at").alias(f"{name}_at"), F.col("words").alias(f"{name}_words"))
+        spans = spans.join(one, ["doc_id", "mark", f"{name}_at"], "left")
+    start = F.least("start", F.col("left_at") - F.coalesce("left_words", F.lit(0)))
+    end = F.greatest("end", F.col("right_at") + F.coalesce("right_words", F.lit(0)))
+    wide = spans.select("doc_id", "mark", F.struct(start.alias("start"), end.alias("end"), "component_id", "keep_id").alias("s"))
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                out = []
-                columns = [part.column(i).cast(pa.binary()).to_pylist() if i > 3 else part.column(i).to_pylist() for i in range(6)]
-                for doc, mark, keep, places, own, kept in zip(*columns, strict=True):
-                    if own is None or kept is None or text_mark(own) != mark:
-                        continue
-                    a, b = word_hashes([own])[0], word_hashes([kept])[0]
-                    for start, end, component in merged([(p["start"], p["start"] + p["length"], p["component_id"]) for p in places]):
-                        out.append((doc, mark, *agreement(a, b, start, end), component, keep))
-                yield _spans(out)
+            out = []
+            for doc, mark, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                out += [(doc, mark, s[0], s[1] - s[0], *s[2:]) for s in merged([(p["start"], p["end"], p["component_id"], p["keep_id"]) for p in found])]
+            columns = list(zip(*out, strict=True)) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "mark", "start", "length", "component_id", "keep_id"])
 
-    return mapped(both.select("doc_id", "mark", "keep_id", "found", "own", "kept"), run, SPANS)
+    return mapped(wide.groupBy("doc_id", "mark").agg(F.collect_list("s").alias("found")), run, "doc_id long, mark long, start long, length long, component_id long, keep_id long")
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """What to remove so that each passage that repeats across documents stays in one.
 
-    Texts are parted into paragraphs of 24 words that overlap freely, at places that the words themselves choose, so every
-    passage of 50 words or more holds paragraphs that come out alike in each of its copies, wherever it stands. Lines of 24
-    words or more are paragraphs too, and so are chunks of 53 words or more between places that the words choose: these can
-    have the similarity with a word changed inside, where windows of 24 words can't. Equal
-    paragraphs are one content. Contents meet in MinHash bands tuned for the recall; the pairs are verified by the exact
-    Jaccard similarity (0.8) of their five-word shingles; links make components, and every pair that is left between components is tried. Of a component's paragraphs, those of
-    its smallest doc_id stay; all others go, with the words around them as far as these agree with the text that stays.
-    Repeats inside one document stay.
+    Texts are parted once into paragraphs that overlap freely: windows of 24 words at places that the words themselves choose,
+    so every passage of 50 words or more holds windows that come out alike in each of its copies, wherever it stands; lines of
+    24 to 256 words; and chunks of 53 words or more between places that the words choose. Equal paragraphs are one content.
+    Lines and chunks, which can be alike with a word changed inside, meet in MinHash bands tuned for the recall; every pair that meets and
+    isn't joined already is verified by the exact Jaccard similarity (0.8) of its five-word shingles (as hashes of 32 bits); links make components. Of a
+    component's paragraphs, those of its smallest doc_id stay; all others go, with the words around them as far as these agree with
+    the text that stays. Repeats inside one document stay.
 
     Returns doc_id, mark (a hash that tells texts of one doc_id apart), start and length (in words; spans that overlap or
     touch are one), component_id (a paragraph content of the keeper's first component), keep_id (the doc_id that keeps it). Texts
     of under 24 words, null texts and rows with a null doc_id have no paragraphs. Repeated doc_ids: the rows are one
-    document, none is held against another. Only doc_id and text are read.
+    document, none is held against another. An empty table gives no rows. Long texts are parted like others. Only doc_id and text are read.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = band_rows(docs, scratch)
-    same = durable(rows.where("shared").select("content").distinct())
-    parts = durable(connected_components(near_links(docs, rows)))
-    scratch.drop()
-    marked = durable(same.join(parts, F.col("content") == F.col("node"), "full").select(F.coalesce("content", "node").alias("content"), F.coalesce("component", "content").alias("component_id")))
-    places = durable(paragraph_places(docs).join(small_side(marked, BROADCAST_ROWS), "content"))
-    keep = durable(places.groupBy("component_id").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("last_id")).where("keep_id <> last_id"))
-    gone = places.join(small_side(keep.drop("last_id"), BROADCAST_ROWS), "component_id").where("doc_id <> keep_id")
-    whole = extended(docs, gone.select("doc_id", "mark", "start", "length", "component_id", "keep_id"))
-
-    def merge(batches):
-        for batch in batches:
-            out = []
-            for doc, mark, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                out += [(doc, mark, *s) for s in merged([(p["start"], p["end"], p["component_id"], p["keep_id"]) for p in found])]
-            yield _spans(out)
-
-    grouped = whole.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "end", "component_id", "keep_id")).alias("found"))
-    return durable(mapped(grouped, merge, SPANS).select("doc_id", "mark", "start", (F.col("end") - F.col("start")).alias("length"), "component_id", "keep_id"))
+    try:
+        return _removals(docs, scratch)
+    finally:
+        scratch.drop()
+
+
+def _removals(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    table = scratch.save(paragraph_table(docs), "paragraphs")
+    contents = table.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), *[F.max(k).alias(k) for k in KEYS])
+    contents = scratch.save(contents.where(f"{KEYS[0]} is not null or low <> high"), "contents")
+    parts = connected_components(near_links(docs, table, contents, scratch))
+    shared = contents.join(parts, F.col("content") == F.col("node"), "left").where("low <> high or component is not null")
+    shared = durable(shared.select("content", "low", "high", F.coalesce("component", "content").alias("component_id")))
+    scratch.drop("contents")
+    keep = shared.groupBy("component_id").agg(F.min("low").alias("keep_id"), F.max("high").alias("last_id")).where("keep_id <> last_id").drop("last_id")
+    target = durable(shared.join(keep, "component_id").select("content", "component_id", "keep_id", (F.col("low") == F.col("keep_id")).alias("exact")))
+    places = durable(table.select("doc_id", "mark", "start", "length", "content").join(small_side(target, BROADCAST_ROWS), "content"))
+    scratch.drop("paragraphs")
+    spans = durable(spans_of(places.where("doc_id <> keep_id")))
+    return durable(extended(docs, spans, places))
 
 
 def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -393,7 +556,9 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """docs, all columns, with the passages of `removals` cut from the texts; n_chars, where there is one, follows the text."""
+    """docs, all columns, with the passages of `removals` cut from the texts; n_chars, where there is one, follows the text.
+
+    Null texts, null doc_ids and empty tables stay as they are; of repeated doc_ids each row loses what its own text holds."""
     spans = durable(removals(docs).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "length")).alias("spans")))
     names = docs.columns
     side = small_side(spans.select(F.col("doc_id").alias("spans_of"), "mark", "spans"), 20_000)
