@@ -14,11 +14,12 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW, LEAST_WORDS, MOST_REPEATED = 8, 20, 30
 #: Relative error of a sketch's quantiles.
 ALPHA = 0.01
-#: A group with fewer documents takes its language's thresholds, and a language with fewer those of all documents.
-LEAST_GROUP = 200
-#: Upper fence of each rate (per thousand): third quartile + SPREAD * (third - first quartile) + the rate's slack.
-SPREAD = 3.0
-SLACK = {"symbol_rate": 100, "dup_rate": 200, "repeat_rate": 100, "word_size": 2000}
+#: Documents that a group's fence must rest on to weigh as much as its language's fence, and a language's as everyone's.
+PRIOR = 200
+#: A rate's fence lies SPREAD interquartile ranges above the third quartile on the sketch's logarithmic scale. Where the first quartile is 0, it
+#: is this quantile of the rates above 0 (words with symbols are few and mostly all of a text's; repeats are common in small numbers).
+SPREAD = 4.0
+UPPER = {"symbol_rate": 0.5, "dup_rate": 0.99, "repeat_rate": 0.99, "word_size": 0.99}
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -92,57 +93,84 @@ def sketched(values: DataFrame, by: list[str], value: str = "value") -> DataFram
     return values.withColumn("bucket", bucket).groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
+def value_of(bucket: Column) -> Column:
+    """The rate that a bucket stands for."""
+    gamma = (1 + ALPHA) / (1 - ALPHA)
+    return F.when(bucket == 0, F.lit(0.0)).otherwise(2 * F.pow(F.lit(gamma), bucket - 1) / (gamma + 1))
+
+
 def quantiles(sketch: DataFrame, by: list[str], points: dict[str, float]) -> DataFrame:
     """The sketched quantiles of each group, and its number of values. A group's buckets are some hundreds."""
-    gamma = (1 + ALPHA) / (1 - ALPHA)
     own = Window.partitionBy(*by)
     ranked = sketch.withColumn("upto", F.sum("n").over(own.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("n").over(own))
     at = {name: F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * q), F.col("bucket"))) for name, q in points.items()}
     found = ranked.groupBy(*by).agg(F.max("all").alias("n"), *[b.alias(name) for name, b in at.items()])
-    value = lambda b: F.when(F.col(b) == 0, F.lit(0.0)).otherwise(2 * F.pow(F.lit(gamma), F.col(b) - 1) / (gamma + 1))
-    return found.select(*by, "n", *[value(name).alias(name) for name in points])
+    return found.select(*by, "n", *[value_of(F.col(name)).alias(name) for name in points])
+
+
+def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """A row for each group of `by`: the fence of every rate (f0, f1, ...; null where all rates are 0) and the number of values that it rests on (w0, w1, ...)."""
+    names = list(UPPER)
+    parts = quantiles(sketch, [*by, "rate"], {"low": 0.25, "high": 0.75})
+    above = sketch.where("bucket > 0")
+    upper = F.element_at(F.array(*[F.lit(UPPER[n]) for n in names]), F.col("rate") + 1)
+    own = Window.partitionBy(*by, "rate")
+    ranked = above.withColumn("upto", F.sum("n").over(own.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("n").over(own))
+    tops = ranked.groupBy(*by, "rate").agg(F.max("all").alias("positive"), F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * upper), F.col("bucket"))).alias("top"))
+    tops = tops.select(*[F.col(c).alias(f"t_{c}") for c in [*by, "rate"]], "positive", value_of(F.col("top")).alias("top"))
+    same = F.lit(True)
+    for c in [*by, "rate"]:
+        same = same & F.col(c).eqNullSafe(F.col(f"t_{c}"))
+    joined = parts.join(tops, same, "left")
+    fence = F.when(F.col("low") > 0, F.col("high") * F.pow(F.col("high") / F.col("low"), F.lit(SPREAD))).otherwise(F.col("top"))
+    weight = F.when(F.col("low") > 0, F.col("n")).otherwise(F.coalesce("positive", F.lit(0)))
+    rows = joined.select(*by, "rate", fence.alias("fence"), weight.cast("double").alias("weight"))
+    wide = [F.max(F.when(F.col("rate") == i, F.col(c))).alias(f"{c[0]}{i}") for i in range(len(names)) for c in ("fence", "weight")]
+    return rows.groupBy(*by).agg(*wide)
+
+
+def shrunk(fence: Column, weight: Column, wider: Column) -> Column:
+    """A group's fence, drawn towards the wider group's the more, the fewer values it rests on."""
+    return F.coalesce((weight * fence + PRIOR * wider) / (weight + PRIOR), wider, fence)
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
-    """The upper fence of every rate for each language and source, with the language's or everyone's where a group is small."""
-    names = list(SLACK)
-    listed = rows.select("lang", "source", F.posexplode(F.array(*[rates()[n] for n in names])).alias("rate", "value"))
+    """t_lang, t_source and fences (an array, a fence for each rate or null) of each language and source, learnt from documents that pass the base rules:
+    each group's own, drawn towards its language's in proportion to its rows, and that towards everyone's. Sketches merge by adding counts,
+    so the languages' and everyone's come from the groups' without another look at the rows."""
+    names = list(UPPER)
+    listed = rows.where(~base_rules()).select("lang", "source", F.posexplode(F.array(*[rates()[n] for n in names])).alias("rate", "value"))
     finest = durable(sketched(listed, ["lang", "source", "rate"]))
-    cuts = {"low": 0.25, "high": 0.75}
-    levels = []
-    for by in (["lang", "source"], ["lang"], []):
-        merged = finest.groupBy(*by, "rate", "bucket").agg(F.sum("n").alias("n")) if len(by) < 2 else finest
-        got = quantiles(merged, [*by, "rate"], cuts)
-        slack = F.element_at(F.array(*[F.lit(float(SLACK[n])) for n in names]), F.col("rate") + 1)
-        fence = (F.col("high") + SPREAD * (F.col("high") - F.col("low")) + slack).alias("fence")
-        wide = got.select(*by, "rate", F.col("n"), fence).groupBy(*by).agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rate", "fence"))).alias("fences"))
-        levels.append(wide)
-    groups, langs, everyone = levels
-    langs = langs.select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), F.col("fences").alias("l_fences"))
-    top = everyone.first()  # one fence for each rate
-    of_all = F.create_map(*[F.lit(x) for rate, fence in sorted((top["fences"] if top else {}).items()) for x in (rate, fence)]).cast("map<int,double>")
+    merged = lambda by: finest.groupBy(*by, "rate", "bucket").agg(F.sum("n").alias("n"))
+    top = fences(merged([]), []).first()  # one fence for each rate
+    groups, langs = fences(finest, ["lang", "source"]), fences(merged(["lang"]), ["lang"])
+    of_all = [F.lit(top[f"f{i}"] if top else None).cast("double") for i in range(len(names))]
+    langs = langs.select(F.col("lang").alias("l_lang"), *[shrunk(F.col(f"f{i}"), F.col(f"w{i}"), of_all[i]).alias(f"l{i}") for i in range(len(names))])
     joined = groups.join(small_side(langs, 10_000), F.col("lang").eqNullSafe(F.col("l_lang")), "left")
-    chosen = F.when(F.col("n") >= LEAST_GROUP, F.col("fences")).when(F.col("l_n") >= LEAST_GROUP, F.col("l_fences")).otherwise(of_all)
-    return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), chosen.alias("fences"))
+    return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.array(*[shrunk(F.col(f"f{i}"), F.col(f"w{i}"), F.col(f"l{i}")) for i in range(len(names))]).alias("fences"))
+
+
+def base_rules() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Base measures and a verdict for each document: the fixed base rules, then fences learnt from its language and source.
 
     All measures are made in one pass over the texts and stored; the sketches and the joined filter read that small table.
-    A document is dropped by a fence if its symbols, repeated lines, repeated windows or characters for each word lie above
-    third quartile + 3 interquartile ranges + a fixed slack of its group. Thresholds are joined back by a broadcast while
+    A document is dropped by a fence if its symbols, repeated lines, repeated windows or characters for each word lie above that of
+    its group: there are no fixed cutoffs and no least size of a group (`thresholds`). Thresholds are joined back by a broadcast while
     the groups are proven to be few, else by a shuffled join, whose large groups Spark splits.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept. Null text: the empty
     text, which fails the base rules. Null lang or source: a group of its own. Null or repeated doc_ids: one result for each
-    row. Only doc_id, text, lang and source are read.
+    row. Groups without a document that passes have no fences. An empty table gives no rows; long texts are measured whole. Only doc_id, text, lang and source are read.
     """
     rows = durable(measured(docs))
     limits = durable(thresholds(rows))
     joined = rows.join(small_side(limits, 100_000), F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
-    base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    base = base_rules()
     above = F.lit(False)
     for i, (_, rate) in enumerate(rates().items()):
-        above = above | F.coalesce(rate > F.element_at("fences", F.lit(i)), F.lit(False))
+        above = above | F.coalesce(rate > F.element_at("fences", i + 1), F.lit(False))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & ~above).alias("kept"))

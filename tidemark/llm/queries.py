@@ -74,15 +74,23 @@ FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 GAMMA = (1 + quality_rules.ALPHA) / (1 - quality_rules.ALPHA)
 
 
-def _fence(rate: str) -> str:
-    """SQL of a rate's upper fence from its sketched quartiles."""
-    value = lambda b: f"CASE WHEN {b} = 0 THEN 0.0 ELSE 2 * pow({GAMMA!r}, {b} - 1) / ({GAMMA!r} + 1) END"
-    return f"{value('high')} + {quality_rules.SPREAD} * ({value('high')} - {value('low')}) + CASE {rate} " + " ".join(f"WHEN '{n}' THEN {x}" for n, x in quality_rules.SLACK.items()) + " END"
+def _value(bucket: str) -> str:
+    return f"CASE WHEN {bucket} = 0 THEN 0.0 ELSE 2 * pow({GAMMA!r}, {bucket} - 1) / ({GAMMA!r} + 1) END"
 
 
 def _level(name: str, by: str) -> str:
-    return f"""{name} AS (SELECT {by} rate, max(total) AS n, min(bucket) FILTER (upto >= ceil(total * 0.25)) AS low, min(bucket) FILTER (upto >= ceil(total * 0.75)) AS high
-        FROM (SELECT *, sum(c) OVER (PARTITION BY {by} rate ORDER BY bucket) AS upto, sum(c) OVER (PARTITION BY {by} rate) AS total FROM (SELECT {by} rate, bucket, count(*) AS c FROM b GROUP BY ALL)) GROUP BY {by} rate)"""
+    """SQL of a level's fences: rate, fence, weight for each group."""
+    upper = "CASE rate " + " ".join(f"WHEN '{n}' THEN {q!r}::DOUBLE" for n, q in quality_rules.UPPER.items()) + " END"
+    own = f"PARTITION BY {by} rate"
+    return f"""{name} AS (SELECT {by} rate, CASE WHEN low > 0 THEN high * pow(high / low, {quality_rules.SPREAD}) ELSE top END AS fence, (CASE WHEN low > 0 THEN total ELSE positive END)::DOUBLE AS weight
+        FROM (SELECT {by} rate, max(total) AS total, max(total) - max(zeros) AS positive, {_value("min(bucket) FILTER (upto >= ceil(total * 0.25::DOUBLE))")} AS low, {_value("min(bucket) FILTER (upto >= ceil(total * 0.75::DOUBLE))")} AS high,
+                {_value("min(bucket) FILTER (bucket > 0 AND upto - zeros >= ceil((total - zeros) * q))")} AS top
+            FROM (SELECT *, {upper} AS q, sum(c) OVER ({own} ORDER BY bucket) AS upto, sum(c) OVER ({own}) AS total, coalesce(sum(c) FILTER (bucket = 0) OVER ({own}), 0) AS zeros
+                FROM (SELECT {by} rate, bucket, count(*) AS c FROM b GROUP BY ALL)) GROUP BY {by} rate))"""
+
+
+def _shrunk(fence: str, weight: str, wider: str) -> str:
+    return f"coalesce(({weight} * {fence} + {quality_rules.PRIOR} * {wider}) / ({weight} + {quality_rules.PRIOR}), {wider}, {fence})"
 
 
 ORACLE_SQL = {
@@ -97,12 +105,12 @@ ORACLE_SQL = {
             FROM documents d JOIN w USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
         x AS (UNPIVOT (SELECT doc_id, lang, source, n_symbols * 1000 // greatest(n_words, 1) AS symbol_rate, n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_rate,
                 n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_rate, word_chars * 1000 // greatest(n_words, 1) AS word_size FROM m) ON symbol_rate, dup_rate, repeat_rate, word_size INTO NAME rate VALUE value),
-        b AS (SELECT *, CASE WHEN value < 1 THEN 0 ELSE 1 + ceil(ln(value) / ln({GAMMA!r})) END AS bucket FROM x),
+        b AS (SELECT x.*, CASE WHEN value < 1 THEN 0 ELSE 1 + ceil(ln(value) / ln({GAMMA!r})) END AS bucket FROM x JOIN m USING (doc_id) WHERE NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)),
         {_level("g", "lang, source,")}, {_level("h", "lang,")}, {_level("a", "")},
-        f AS (SELECT x.doc_id, bool_or(x.value > CASE WHEN g.n >= {quality_rules.LEAST_GROUP} THEN g.fence WHEN h.n >= {quality_rules.LEAST_GROUP} THEN h.fence ELSE a.fence END) AS above FROM x
-            JOIN (SELECT *, {_fence("rate")} AS fence FROM g) g ON x.rate = g.rate AND x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source
-            JOIN (SELECT *, {_fence("rate")} AS fence FROM h) h ON x.rate = h.rate AND x.lang IS NOT DISTINCT FROM h.lang
-            JOIN (SELECT *, {_fence("rate")} AS fence FROM a) a ON x.rate = a.rate GROUP BY x.doc_id)
+        k AS (SELECT h.lang, h.rate, {_shrunk("h.fence", "h.weight", "a.fence")} AS fence FROM h JOIN a USING (rate)),
+        f AS (SELECT x.doc_id, coalesce(bool_or(x.value > {_shrunk("g.fence", "g.weight", "k.fence")}), false) AS above FROM x
+            LEFT JOIN g ON x.rate = g.rate AND x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source
+            LEFT JOIN k ON x.rate = k.rate AND x.lang IS NOT DISTINCT FROM k.lang GROUP BY x.doc_id)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT above AS kept
         FROM m JOIN f USING (doc_id)
     """,
