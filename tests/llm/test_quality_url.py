@@ -84,6 +84,21 @@ def test_sketches_merge_and_are_near(spark):
         assert abs(got[name] - exact) <= 0.011 * exact + 1e-9
 
 
+def test_every_group_has_a_fence_of_its_own(spark):
+    """Also at sf0.01, where no group is large; and no fixed cutoffs give the verdicts at sf0.1."""
+    read = lambda sf: spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    small = quality_rules.thresholds(quality_rules.measured(read("sf0.01"))).collect()
+    sizes = [r.fences[3] for r in small]
+    assert len(small) == 80 and len(set(sizes)) > 70
+    rows = quality_rules.measured(read("sf0.1"))
+    kept = quality_rules.quality_rules(read("sf0.1")).where("not base_failed").select("doc_id", "kept")
+    found = rows.select("doc_id", *[c.alias(n) for n, c in quality_rules.rates().items()]).join(kept, "doc_id").collect()
+    values = lambda r: np.array([r[n] for n in quality_rules.UPPER])
+    stay, go = (np.array([values(r) for r in found if r.kept == k]) for k in (True, False))
+    print("dropped by fences", len(go), "of", len(found))
+    assert any((stay >= g).all(axis=1).any() for g in go)
+
+
 # -- classifiers
 
 
@@ -153,7 +168,8 @@ def test_swaps_are_held_to_the_same_score():
         texts.append(" ".join(w).encode())
         y.append(toxic)
     rows = toxicity.features(texts)
-    pairs = [toxicity.features([s])[0] if (s := toxicity.swapped(t)) else None for t in texts]
+    chains = [toxicity.features([t, s]) for t in texts if (s := toxicity.swapped(t))]
+    pairs = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in chains]
     neutral = [b"two women met at the market", b"two men met at the market"]
     free, held = (toxicity.fit(rows, np.array(y), pairs, c) for c in (0.0, 10.0))
     gap = lambda m: abs(float(np.subtract(*m(neutral))))
@@ -161,6 +177,33 @@ def test_swaps_are_held_to_the_same_score():
     assert held([b"you oaf and dolt"])[0] > 0.5 > held(neutral)[0]
 
 
+def test_counterfactuals_of_every_labelled_text():
+    rng = random.Random(4)
+    texts = [clean(rng).encode() for _ in range(300)] + ["Two women met".encode(), b""]
+    chains = [toxicity.counterfactuals(t) for t in texts]
+    assert all(c[0] == t and len(c) >= 3 and c[1].startswith(t) and c[2].startswith(t) and c[1] != c[2] for c, t in zip(chains, texts, strict=True))
+    assert chains[-2][-1] == b"Two men met"
+    said = {w for c in chains for w in c[1][len(c[0]) :].decode().split()}
+    assert sum(any(t in said for t in g) for g in toxicity.IDENTITY) == len(toxicity.IDENTITY)
+    assert {s.split("{}")[0].strip() or s.split("{}")[1].strip() for s in toxicity.MENTIONS} and toxicity.counterfactuals(b"x", (("p", "q"),))[1].decode().split()[1:]
+
+
+def test_neutral_mentions_on_the_tables(spark):
+    """The labelled texts of sf0.01 give counterfactual pairs; with the penalty a neutral mention moves scores less than without."""
+    sf = "/root/testdata/sf0.01"
+    docs, marks = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows, y, pairs = linear.labelled_sample(docs, marks, "toxic", linear.split_remainder(5) == 0, 2000, toxicity.features, toxicity.counterfactuals)
+    assert len(pairs) >= 2 * len(rows) > 100
+    free, held = (toxicity.fit(rows, y, pairs, c) for c in (0.0, toxicity.COUNTERFACTUAL))
+    plain = [(r.text or "").encode() for r in docs.limit(400).collect()]
+    told = [t + b" " + s.format(term).encode() for t in plain[:20] for s in toxicity.MENTIONS for g in toxicity.IDENTITY for term in g]
+    base = [t for t in plain[:20] for s in toxicity.MENTIONS for g in toxicity.IDENTITY for term in g]
+    moved = {name: float(np.abs(m(told) - m(base)).mean()) for name, m in (("free", free), ("held", held))}
+    wrong = {name: int(((m(told) >= 0.5) & (m(base) < 0.5)).sum()) for name, m in (("free", free), ("held", held))}
+    print("mean change", moved, "new positives", wrong, "of", len(told))
+    assert moved["held"] <= moved["free"] and wrong["held"] <= wrong["free"]
+
+
 def test_descent_meets_its_conditions():
     """At the optimum of the hinge loss the primal objective is no worse than near it, in any direction."""
     rng = np.random.default_rng(1)

@@ -77,31 +77,35 @@ def split_remainder(parts: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows_per_class: int, features, changed=None) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray | None]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, rows_per_class: int, features, variants=None) -> tuple[list[np.ndarray], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Distinct features and labels of at most rows_per_class labelled texts of each class, those of smallest hash, outside the
-    held-out fold; and the features of `changed` of each text, None where that gives None. The sampled ids are bounded by
-    that parameter, so they are broadcast to a scan of the documents."""
+    held-out fold; and for each two neighbours of what `variants` makes of a text, the features that only the first and only the second
+    has. The sampled ids are bounded by that parameter, so they are broadcast to a scan of the documents. Of several texts
+    of a doc_id the smallest counts (a null text, as the empty one, if all are null), so the rows are bounded too."""
     usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = usable.where("y = 0").orderBy(*order).limit(rows_per_class).unionByName(usable.where("y = 1").orderBy(*order).limit(rows_per_class))
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
     def run(batches):
+        packed = lambda x: x.astype(np.int32).tobytes()
         for batch in batches:
             ys = batch.column(2).to_pylist()
             seen = 0
             for ids, own in text_blocks([batch]):
-                other = [changed(t) if changed else None for t in own]
-                swapped = iter(features([t for t in other if t is not None]))
-                z = [None if t is None else next(swapped).astype(np.int32).tobytes() for t in other]
-                x = [f.astype(np.int32).tobytes() for f in features(own)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ys[seen : seen + len(ids)], pa.int32()), pa.array(x, pa.binary()), pa.array(z, pa.binary())], names=["doc_id", "y", "x", "z"])
+                changes = []
+                for t in own:
+                    chain = features(variants(t)) if variants else []
+                    changes.append([packed(x) for a, b in zip(chain, chain[1:]) for x in (np.setdiff1d(a, b), np.setdiff1d(b, a))])
+                x = [packed(f) for f in features(own)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ys[seen : seen + len(ids)], pa.int32()), pa.array(x, pa.binary()), pa.array(changes, pa.list_(pa.binary()))], names=["doc_id", "y", "x", "changes"])
                 seen += len(ids)
 
     source = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y")
-    rows = sorted((r.doc_id, r.y, bytes(r.x), r.z is not None, bytes(r.z or b"")) for r in mapped(source, run, "doc_id long, y int, x binary, z binary").collect())
+    rows = sorted((r.doc_id, r.y, bytes(r.x), [bytes(c) for c in r.changes]) for r in mapped(source, run, "doc_id long, y int, x binary, changes array<binary>").collect())
     numbers = lambda data: np.frombuffer(data, np.int32).astype(np.int64)
-    return [numbers(r[2]) for r in rows], np.array([r[1] for r in rows], np.int64), [numbers(r[4]) if r[3] else None for r in rows]
+    pairs = [(numbers(a), numbers(b)) for r in rows for a, b in zip(r[3][::2], r[3][1::2], strict=True)]
+    return [numbers(r[2]) for r in rows], np.array([r[1] for r in rows], np.int64), pairs
 
 
 def platt(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,16 +30,33 @@ IDENTITY = (
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"), ("inmigrantes", "extranjeros"),
     ("femmes", "hommes"), ("musulmans", "chrétiens", "juifs"), ("immigrés", "étrangers"),
 )
-_NEXT = {t: g[(i + 1) % len(g)] for g in IDENTITY for i, t in enumerate(g)}
-_TERM = re.compile(r"\b(" + "|".join(sorted(map(re.escape, _NEXT), key=len, reverse=True)) + r")\b", re.IGNORECASE)
+#: Sentences that mention a group and say nothing about it.
+MENTIONS = ("two {} were at the market", "{} neighbours came by on sunday", "the train was full of {} families")
 
 
-def swapped(text: bytes) -> bytes | None:
+def next_terms(groups=IDENTITY) -> dict[str, str]:
+    return {t: g[(i + 1) % len(g)] for g in groups for i, t in enumerate(g)}
+
+
+def swapped(text: bytes, groups=IDENTITY) -> bytes | None:
     """The text with every identity term replaced by the next of its group; None if it has none."""
-    out, n = _TERM.subn(lambda m: _NEXT[m[0].lower()], text.decode())
+    following = next_terms(groups)
+    term = re.compile(r"\b(" + "|".join(sorted(map(re.escape, following), key=len, reverse=True)) + r")\b", re.IGNORECASE)
+    out, n = term.subn(lambda m: following[m[0].lower()], text.decode())
     return out.encode() if n else None
 
 
+def counterfactuals(text: bytes, groups=IDENTITY) -> list[bytes]:
+    """The text and others that must score like it: with its identity terms swapped, if it has any, and with a neutral mention of a
+    group added, then of the group's next. The text's hash chooses the group and the sentence, so all of them come up over many texts."""
+    choice = zlib.crc32(text)
+    group = groups[choice % len(groups)]
+    at, sentence = choice // len(groups) % len(group), MENTIONS[choice // 4096 % len(MENTIONS)]
+    mentions = [text + b" " + sentence.format(group[(at + i) % len(group)]).encode() for i in range(2)]
+    other = swapped(text, groups)
+    return [text, *mentions, *([text, other] if other is not None else [])]
+
+
 def features(texts: list[bytes]) -> list[np.ndarray]:
     w = linear.Words(texts, PREFIXES)
     grams = [linear.gram([w.hashes], 11), *[linear.gram([p], 12 + i) for i, p in enumerate(w.prefixes)]]
@@ -56,7 +74,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margins, -30, 30)))
 
 
-def chosen(rows: list[np.ndarray], y: np.ndarray, pairs: list[np.ndarray | None], kept: int = KEPT) -> np.ndarray:
+def chosen(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], kept: int = KEPT) -> np.ndarray:
     """The features that tell the classes apart best (by the z-score of their log odds), and those that a swap changes."""
     counts = np.zeros((2, linear.SIZE))
     for x, k in zip(rows, y, strict=True):
@@ -66,13 +84,12 @@ def chosen(rows: list[np.ndarray], y: np.ndarray, pairs: list[np.ndarray | None]
     z = np.abs(odds[1] - odds[0]) / np.sqrt((1 / (counts + 0.5) + 1 / (n - counts + 0.5)).sum(axis=0))
     z[counts.sum(axis=0) < 3] = 0
     best = np.argsort(-z, kind="stable")[:kept]
-    changed = [np.setxor1d(x, other) for x, other in zip(rows, pairs, strict=True) if other is not None]
-    return np.unique(np.concatenate([best[z[best] > 0], *changed])).astype(np.int64)
+    return np.unique(np.concatenate([best[z[best] > 0], *[x for pair in pairs for x in pair]])).astype(np.int64)
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[np.ndarray | None], counterfactual: float = COUNTERFACTUAL) -> Model:
-    """Minimises log loss (classes weigh alike) + ridge + counterfactual * mean squared margin change of the swapped texts, by
-    accelerated gradient steps."""
+def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], counterfactual: float = COUNTERFACTUAL) -> Model:
+    """Minimises log loss (classes weigh alike) + ridge + counterfactual * mean squared margin change of the counterfactual pairs, by
+    accelerated gradient steps. pairs: the features that the first text of each has and the second hasn't, and the other way round."""
     weights = np.zeros(linear.SIZE, np.float32)
     if len(set(y.tolist())) < 2:
         return Model(weights, 0.0 if not len(y) else 4.0 if y[0] else -4.0)
@@ -90,10 +107,9 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[np.ndarray | None], c
     def back(m, g: np.ndarray) -> np.ndarray:
         return np.bincount(m[1], weights=g[m[0]], minlength=len(kept))
 
-    have = [i for i, p in enumerate(pairs) if p is not None]
-    x, before, after = sparse(rows), sparse([rows[i] for i in have]), sparse([pairs[i] for i in have])
+    x, before, after = sparse(rows), sparse([p[0] for p in pairs]), sparse([p[1] for p in pairs])
     share = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
-    weight = 2 * counterfactual / max(1, len(have))
+    weight = 2 * counterfactual / max(1, len(pairs))
 
     def penalty(v: np.ndarray) -> np.ndarray:
         """The gradient of the squared margin changes at v."""
@@ -121,14 +137,19 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[np.ndarray | None], c
     return Model(weights, b)
 
 
-def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
-    """A model from at most rows_per_class texts of each label outside the held-out fold; those bounded rows come to the driver as feature numbers."""
-    return fit(*linear.labelled_sample(docs, labels, "toxic", linear.split_remainder(PARTS) == FOLD, rows_per_class, features, swapped))
+def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, groups=IDENTITY, counterfactual: float = COUNTERFACTUAL) -> Model:
+    """A model from at most rows_per_class texts of each label outside the held-out fold; those bounded rows come to the driver as feature numbers,
+    each with what its counterfactuals change."""
+    held_out = linear.split_remainder(PARTS) == FOLD
+    return fit(*linear.labelled_sample(docs, labels, "toxic", held_out, rows_per_class, features, lambda text: counterfactuals(text, groups)), counterfactual)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> DataFrame:
     """A toxicity score from 0 to 1 for every whole text, and whether it reaches 0.5.
 
+    Every labelled text gives counterfactual pairs (`counterfactuals`), so the model is held to scores that neutral mentions of groups,
+    and swaps of one group for another, don't change.
+
     Returns doc_id, held_out, score, predicted. Null text: the empty text, scored by the model's shift alone. Null doc_id:
     counts as the empty text for the fold. Null labels are not used; several labels of a doc_id count as their largest.
     Without labelled texts of both classes every score is the same. Repeated doc_ids: one result for each row.
