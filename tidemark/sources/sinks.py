@@ -36,19 +36,22 @@ def write_json_lines(df: DataFrame, folder: str) -> None:
 
 
 def write_file(spark: SparkSession, path: str, chunks: Iterable[str]) -> None:
-    """One file in any store that Spark writes to: written beside its place, then renamed over it."""
-    jvm = spark.sparkContext._jvm
-    target, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """One file in any store that Spark writes to: written beside its place, then renamed over it in one step, so a reader
+    finds the old file or the new one at any time."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(conf)
+    target, beside = (fs.makeQualified(hadoop.Path(p)) for p in (path, f"{path}.tmp"))
     out = fs.create(beside, True)
     try:
         for chunk in chunks:
             out.write(bytearray(chunk.encode()))
     finally:
         out.close()
-    fs.delete(target, False)
-    if not fs.rename(beside, target):
-        raise OSError(f"{path} could not be replaced")
+    kind = getattr(hadoop, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(kind, 1)
+    overwrite[0] = kind.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, overwrite)
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
@@ -70,14 +73,16 @@ def write_report(row: DataFrame, path: str) -> dict:
     return values
 
 
-def export_all(listings: DataFrame, report: DataFrame, folder: str) -> dict:
-    """listings.jsonl, images.jsonl (folders), listings.json, summary.json and data-quality.json; returns the summary."""
+def export_all(listings: DataFrame, report: DataFrame, folder: str, single_file: bool = True) -> dict:
+    """listings.jsonl, images.jsonl (folders), listings.json, summary.json and data-quality.json; returns the summary. Without
+    single_file, listings.json is left out: its rows stream through the driver, which suits small exports only."""
     from tidemark.operators.report import summary
 
     ordered = listings_in_order(listings)
     write_json_lines(ordered, f"{folder}/listings.jsonl")
     write_json_lines(image_records(ordered), f"{folder}/images.jsonl")
-    write_json_array(ordered, f"{folder}/listings.json")
+    if single_file:
+        write_json_array(ordered, f"{folder}/listings.json")
     write_report(report, f"{folder}/data-quality.json")
     return write_report(summary(report), f"{folder}/summary.json")
 
