@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import fetchlog
@@ -51,3 +53,49 @@ def test_headers_and_answers(values):
     bodies = ['{"data":{"a":1}}', '{"data":null,"errors":[{"message":"bad"}]}', '{"data":{"a":1},"errors":[{"message":"x"}]}', '{"errors":[{"message":"Throttled"}]}', '{"data":{}}']
     assert values(fetchlog.graphql_outcome(F.col("x")), bodies) == ["ok", "permanent", "partial", "blocked", "ok"]
     assert values(fetchlog.robots_rule(F.col("x")), [200, 404, 429, 503], "int") == ["rules", "allow_all", "block", "block"]
+
+
+def folded(events):
+    """The slow-down factor, one answer after the other."""
+    factor, good = 1.0, 0
+    for e in events:
+        if e == 429:
+            factor, good = min(16.0, factor * 2), 0
+        elif e == 200:
+            good += 1
+            if good >= 50 and factor > 1:
+                factor, good = max(1.0, factor / 2), 0
+    return factor
+
+
+def test_slow_factor_of_long_runs(spark):
+    dice = random.Random(5)
+    runs = {f"r{k}": [dice.choice([429] + [200] * dice.choice([3, 60, 200]) + [404]) for _ in range(600)] for k in range(8)} | {"none": [200] * 70, None: [429] * 9}
+    log = spark.createDataFrame([(k, i, f"u{i}", s, {}, "", None) for k, v in runs.items() for i, s in enumerate(v)], FETCH_LOG)
+    got = {r.run_id: r.slow_factor for r in fetchlog.slow_factor(fetchlog.classified(log), groups=3).collect()}
+    assert got == {k: folded(v) for k, v in runs.items()}
+    assert fetchlog.slow_factor(fetchlog.classified(log.limit(0))).count() == 0
+
+
+def test_counts_in_ranges(spark):
+    dice = random.Random(6)
+    rows = [(k, i * 3 - 40, dice.choice([True, False, None])) for k in ("a", "b", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "run_id string, seq bigint, hit boolean")
+    got = fetchlog.with_counts(df, {"n": F.col("hit")}, ("run_id",), "seq", span=7).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n == sum(bool(h) for k, s, h in rows if k == r.run_id and s <= r.seq)
+
+
+def test_limits_pauses_rules_and_codes(spark, values):
+    log = fetchlog.classified(rows(spark, {"status": 429}, {"status": 429, "headers": {"retry-after": "9"}}, {"status": 404}, {"status": 429}, {"status": 200}, {"status": 429}))
+    assert [(r.seq, r.in_a_row, r.pause) for r in fetchlog.pauses(log).orderBy("seq").collect()] == [(0, 1, 10.0), (1, 2, 9.0), (3, 3, 40.0), (5, 1, 10.0)]
+    kept = lambda **limits: [r.seq for r in fetchlog.within_limits(log, **limits).orderBy("seq").collect()]
+    assert kept() == [0, 1, 2, 3, 4, 5] and kept(most_requests=2) == [0, 1]
+    assert kept(most_listings=1, listing=F.col("outcome") == "ok") == [0, 1, 2, 3, 4] and kept(most_pages=1, page=F.col("status") == 404) == [0, 1, 2]
+    rules = "User-agent: *\nDisallow: /private\n\nUser-agent: bot\nDisallow: /"
+    asked = F.concat(F.lit("https://a.example.com"), F.col("x"))
+    assert values(fetchlog.robots_allows(F.lit(rules), asked, "reader"), ["/private/1", "/open", None]) == [False, True, True]
+    assert values(fetchlog.robots_allows(F.lit(rules), asked, "bot"), ["/open"]) == [False]
+    assert values(fetchlog.robots_allows(F.lit(None).cast("string"), asked, "bot"), ["/open"]) == [True]
+    assert values(fetchlog.exit_code(F.col("x")), ["blocked", "completed", "?", None]) == [3, 0, None, None]

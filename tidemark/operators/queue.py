@@ -126,3 +126,20 @@ def mark_done(slugs: DataFrame, seq: int) -> DataFrame:
 def reopen(slugs: DataFrame, seq: int) -> DataFrame:
     """A finished category starts over."""
     return slugs.select(F.explode(F.array(F.struct(done_key(F.col("slug")).alias("key"), F.lit("0").alias("value")), F.struct(cursor_key(F.col("slug")).alias("key"), F.lit("1").alias("value")))).alias("kv")).select("kv.*", F.lit(seq).cast("long").alias("seq"))
+
+
+def save_categories(slugs: DataFrame, seq: int) -> DataFrame:
+    """One row: the slugs (slug, pos) in order, as a JSON list."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("pos", "slug"))), lambda s: s["slug"])
+    return slugs.agg(listed.alias("slugs")).select(F.lit("categories").alias("key"), F.to_json("slugs").alias("value"), F.lit(seq).cast("long").alias("seq"))
+
+
+def categories(state: DataFrame) -> DataFrame:
+    """The categories that were saved last (slug, pos); none if none were."""
+    saved = state_value(state, "categories").select(F.posexplode(F.from_json("value", "array<string>")).alias("pos", "slug"))
+    return saved.select("slug", "pos")
+
+
+def note_run(reasons: DataFrame, seq: int) -> DataFrame:
+    """Why the last run stopped (one row with a column reason)."""
+    return reasons.select(F.lit("last_run").alias("key"), F.to_json(F.struct(F.col("reason").alias("stopped"))).alias("value"), F.lit(seq).cast("long").alias("seq"))

@@ -14,6 +14,7 @@ from tidemark.functions.urls import extract_external_id, image_file, normalize_i
 from tidemark.operators import announcements, fetchlog, normalize, pages, queue, report, store
 from tidemark.session import configure
 from tidemark.sources import landed, sinks
+from tidemark.streaming import ingest
 
 BASE = "https://www.example.com"
 AT = "2026-01-01T00:00:00Z"
@@ -504,6 +505,282 @@ def event_log(t):
 
 @query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def event_windows(t):
-    """Extension: the batch form of the streaming windows."""
-    hours = t("events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
-    return hours.select(F.col("w.start").alias("hour"), "event_type", "n", "total")
+    """Extension: the streaming windows on a table, where the watermark has no effect."""
+    return ingest.event_windows(t("events")).select(F.col("window.start").alias("hour"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def first_seen_keys(t):
+    return ingest.first_seen(t("events").select("user_id", "event_id"), "user_id").select("user_id")
+
+
+@query(f"""
+    WITH {OUTCOME}, g AS (SELECT *, sum(CAST(outcome = 'ok' AS INT)) OVER (PARTITION BY user_id ORDER BY event_id) AS a FROM c),
+    k AS (SELECT *, row_number() OVER (PARTITION BY user_id, a ORDER BY event_id) AS k FROM g WHERE outcome = 'rate_limited')
+    SELECT event_id AS seq, k AS in_a_row, CASE WHEN event_id % 7 <> 3 THEN CAST(event_id % 7 AS DOUBLE) ELSE least(300.0, 5.0 * 2.0 ** k) END AS pause FROM k
+""")
+def rate_limit_pauses(t):
+    """Headers say how long to wait, but for one in seven."""
+    silent = F.create_map(F.lit("Content-Type"), F.lit("application/json"))
+    rows = fetchlog.classified(fetches(t)).withColumn("headers", F.when(F.col("seq") % 7 == 3, silent).otherwise(F.col("headers")))
+    return fetchlog.pauses(rows).select("seq", "in_a_row", "pause")
+
+
+@query(f"""
+    WITH {OUTCOME}, n AS (SELECT *, count(*) OVER w AS r, sum(CAST(outcome = 'ok' AS INT)) OVER w - CAST(outcome = 'ok' AS INT) AS l FROM c WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+    SELECT CAST(user_id AS VARCHAR) AS run_id, event_id AS seq FROM n WHERE r <= 40 AND l < 8
+""")
+def run_limits(t):
+    """Runs that may make 40 requests and save 8 listings: limits are the feature."""
+    return fetchlog.within_limits(fetchlog.classified(fetches(t)), most_requests=40, most_listings=8, listing=F.col("outcome") == "ok").select("run_id", "seq")
+
+
+@query("SELECT event_id, NOT (event_type = 'error' AND event_id % 4 = 1) AND event_type <> 'click' OR event_id % 5 = 0 AS allowed FROM events")
+def robots_allowed(t):
+    """Rules of two agents; one url in four is a private one, and one text in five is absent."""
+    robots = F.expr("CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_type = 'click' THEN 'User-agent: *\\nDisallow: /' ELSE 'User-agent: other\\nDisallow: /\\n\\nUser-agent: *\\nDisallow: /error/1/' END")
+    url = F.concat(F.lit(f"{BASE}/"), "event_type", F.lit("/"), (F.col("event_id") % 4).cast("string"), F.lit("/x"))
+    return t("events").select("event_id", fetchlog.robots_allows(robots, url, "reader").alias("allowed"))
+
+
+@query("SELECT event_id, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 3 WHEN 'error' THEN 1 WHEN 'purchase' THEN 130 END AS code FROM events")
+def exit_codes(t):
+    reason = F.expr("CASE event_type WHEN 'view' THEN 'limit_reached' WHEN 'click' THEN 'blocked' WHEN 'error' THEN 'connection_failure' WHEN 'purchase' THEN 'interrupted' ELSE 'other' END")
+    return t("events").select("event_id", fetchlog.exit_code(reason).alias("code"))
+
+
+# -- menus, details and summaries
+
+
+@query("SELECT 'g' || (n_nationkey % 7) AS slug, CAST(min(n_nationkey) AS INTEGER) AS pos FROM nation WHERE n_nationkey % 7 > 0 GROUP BY 1")
+def menu_slugs(t):
+    """One menu of all nations, whose slugs repeat; some have none."""
+    target = F.when(F.col("n_nationkey") % 7 > 0, F.struct(F.concat(F.lit("g"), (F.col("n_nationkey") % 7).cast("string")).alias("slug")))
+    menu = t("nation").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", target.alias("target")))).alias("listingMenu"))
+    return landed.menu_categories(menu.select(F.to_json(F.struct("listingMenu")).alias("payload")))
+
+
+@query("SELECT n_name AS slug, CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS pos FROM nation")
+def saved_categories(t):
+    """What a checkpoint holds as categories, the last of two lists."""
+    rows = t("nation").select(F.col("n_name").alias("slug"), F.col("n_nationkey").alias("pos"))
+    state = queue.save_categories(rows.where("pos < 5"), 1).unionByName(queue.save_categories(rows, 2)).unionByName(queue.note_run(rows.where("pos = 0").select(F.lit("blocked").alias("reason")), 3))
+    return queue.categories(state)
+
+
+@query("""
+    SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS title, NULL AS error FROM part WHERE p_partkey % 5 > 1
+    UNION ALL SELECT 'u' || p_partkey, NULL, 'not_found: listing no longer public' FROM part WHERE p_partkey % 5 <= 1
+""")
+def detail_answers(t):
+    """Answers to detail requests: of five one has no record and one an empty one."""
+    record = F.to_json(F.struct(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.array().cast("array<string>").alias("specs")).alias("announcement")))
+    payload = F.when(F.col("p_partkey") % 5 == 0, '{"announcement": null}').when(F.col("p_partkey") % 5 == 1, '{"announcement": {}}').otherwise(record)
+    records, missing = landed.found_records(t("part").select(F.concat(F.lit("u"), F.col("p_partkey").cast("string")).alias("url"), payload.alias("payload")))
+    parsed = announcements.parse_announcements(records, BASE, AT, "example")
+    none = F.lit(None).cast("string")
+    return parsed.select(F.col("external_id").alias("key"), "title", none.alias("error")).unionByName(missing.select(F.col("url").alias("key"), none.alias("title"), "error"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS external_id, p_name AS title, p_partkey % 2 = 0 AS detail FROM part WHERE p_partkey > 0")
+def summary_listings(t):
+    """Listings from the summaries of search pages alone; every other one has the key that only details have."""
+    empty = F.array().cast("array<string>")
+    node = F.struct(F.col("p_partkey").alias("id"), F.lit("s").alias("slug"), F.col("p_name").alias("title"), F.when(F.col("p_partkey") % 2 == 0, empty).alias("specs"))
+    nodes = t("part").groupBy(F.floor(F.col("p_partkey") / 48).alias("page")).agg(F.array_sort(F.collect_list(node)).alias("data"))
+    payload = F.to_json(F.struct(F.struct(F.struct("data").alias("announcements")).alias("search")))
+    found = landed.discovered(landed.search_pages(nodes.select("page", payload.alias("payload"))), BASE)
+    parsed = announcements.parse_announcements(found.select(F.col("summary").alias("payload")), BASE, AT, "example")
+    return parsed.select("external_id", "title", F.try_variant_get("source_metadata", "$.is_detail_record", "boolean").alias("detail"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS external_id, p_name || ' x' AS title, p_partkey AS number FROM part ORDER BY p_partkey")
+def normalized_order(t):
+    """Listings in the numeric order of their ids; tests hold the order itself."""
+    rows = normalize.normalize_listings(announcements.parse_announcements(part_payloads(t), BASE, AT, "example"))
+    return sinks.listings_in_order(rows).select("external_id", "title", landed.numeric_id(F.col("external_id")).alias("number"))
+
+
+def supplier_payloads(t):
+    """Suppliers as records in their detail form: a shop or a person, one or two places, attributes told twice, and prices shown in other ways."""
+    rows = t("supplier").join(F.broadcast(t("nation")), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("s_suppkey")
+    spec = lambda name, label, value: F.struct(F.struct(F.lit(name).alias("codename"), F.lit(label).alias("label")).alias("specification"), value.cast("string").alias("valueText"))
+    city = lambda number, name: F.struct(number.cast("string").alias("id"), name.alias("name"), F.struct(F.col("r_name").alias("name")).alias("region"))
+    places = F.when(key % 3 == 0, F.array().cast("array<struct<id:string,name:string,region:struct<name:string>>>")).when(key % 3 == 1, F.array(city(key, F.col("n_name")))).otherwise(F.array(city(key, F.col("n_name")), city(key + 1, F.lit("Second"))))
+    address = F.struct(F.struct(F.concat(F.lit("Road "), key.cast("string")).alias("address")).alias("location"))
+    shop = F.struct(
+        key.cast("string").alias("id"), F.when(key % 4 == 0, "").otherwise(F.col("s_name")).alias("name"), key.alias("followerCount"), (key % 2 == 0).alias("isVerified"),
+        F.array(address).alias("locations"), F.array(F.struct(F.col("n_name").alias("name"))).alias("categories"),
+    )
+    return rows.select(F.to_json(F.struct(
+        key.alias("id"), F.lit("s").alias("slug"), F.col("s_name").alias("title"), F.concat(F.lit("R"), key.cast("string")).alias("reference"), F.when(key % 2 == 0, "ACTIVE").otherwise("").alias("status"), F.lit(0).alias("quantity"),
+        F.when(key % 5 > 0, key * 100).alias("price"), F.when(key % 5 > 1, (key % 5).cast("int")).alias("pricePreview"), F.when(key % 2 == 0, "MILLIONS").otherwise("").alias("priceUnit"), (key % 2 == 1).alias("hasDelivery"),
+        places.alias("cities"), F.when(key % 2 == 0, F.concat(F.lit("Street "), key.cast("string"))).alias("street_name"),
+        F.array(spec("size", "Size", key), spec("size", "Length", key + 1), spec("blank", "Blank", F.lit("")), spec("plain", "", F.lit("p"))).alias("specs"),
+        F.array(spec("size", "", F.lit("small")), spec("year", "", key % 30 + 1990), spec("year", "", F.lit("late"))).alias("smallDescription"),
+        (key % 3 > 0).alias("isFromStore"), shop.alias("store"), F.struct(F.when(key % 8 == 0, "").otherwise(F.concat(F.lit("user "), key.cast("string"))).alias("displayName")).alias("user"),
+        F.array(F.struct(key.cast("string").alias("id")), F.struct(F.lit("top").alias("id"))).alias("categories"), F.array().cast("array<string>").alias("variants"),
+    )).alias("payload"))
+
+
+def suppliers(t):
+    return announcements.parse_announcements(supplier_payloads(t), BASE, AT, "example")
+
+
+PLACED = "supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+
+
+@query(f"""SELECT CAST(s_suppkey AS VARCHAR) AS external_id, CASE WHEN s_suppkey % 3 > 0 THEN r_name END AS wilaya, CASE WHEN s_suppkey % 3 > 0 THEN n_name END AS commune,
+    CASE WHEN s_suppkey % 3 > 0 THEN CASE WHEN s_suppkey % 2 = 0 THEN 'Street ' || s_suppkey || ', ' ELSE '' END || n_name || ', ' || r_name END AS raw,
+    CASE WHEN s_suppkey % 3 = 2 THEN 'Second' END AS other FROM {PLACED}""")
+def record_places(t):
+    return suppliers(t).select("external_id", "location.*", F.try_variant_get("source_metadata", "$.cities[1].commune", "string").alias("other"))
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS external_id, CAST(s_suppkey + 1 AS VARCHAR) AS size, CAST(s_suppkey % 30 + 1990 AS VARCHAR) AS year, 'p' AS plain, CAST(3 AS BIGINT) AS attributes, 'Length' AS label, CAST(1 AS BIGINT) AS labels FROM supplier")
+def record_attributes(t):
+    """Specifications outdo the summary; of a key's specifications the last counts, of its summaries the first."""
+    value = lambda name: F.try_variant_get(F.col("attributes")[name], "$", "string").alias(name)
+    labels = F.try_variant_get("source_metadata", "$.attribute_labels", "map<string,string>")
+    return suppliers(t).select("external_id", value("size"), value("year"), value("plain"), F.size("attributes").cast("long").alias("attributes"), labels["size"].alias("label"), F.size(labels).cast("long").alias("labels"))
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS external_id,
+    CASE WHEN s_suppkey % 3 > 0 AND s_suppkey % 4 > 0 THEN s_name WHEN s_suppkey % 8 > 0 THEN 'user ' || s_suppkey END AS display_name,
+    CASE WHEN s_suppkey % 3 > 0 AND s_suppkey % 4 > 0 THEN 'store' WHEN s_suppkey % 8 > 0 THEN 'individual' WHEN s_suppkey % 3 > 0 THEN 'store' END AS type,
+    s_suppkey AS followers, s_suppkey % 2 = 0 AS verified, 'Road ' || s_suppkey AS address FROM supplier""")
+def record_sellers(t):
+    store_of = lambda path, kind: F.try_variant_get("source_metadata", f"$.store.{path}", kind)
+    return suppliers(t).select("external_id", "seller.*", store_of("followers", "bigint").alias("followers"), store_of("is_verified", "boolean").alias("verified"), store_of("addresses[0]", "string").alias("address"))
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS external_id, 'graphql' AS api, 'R' || s_suppkey AS reference, CASE WHEN s_suppkey % 2 = 0 THEN 'ACTIVE' END AS status, CAST(0 AS BIGINT) AS quantity,
+    s_suppkey % 2 = 1 AS delivery, s_suppkey || ',top' AS ids, true AS detail, false AS variants FROM supplier""")
+def record_metadata(t):
+    """Blank texts and empty lists are left out, zeros and false stay."""
+    told = lambda path, kind: F.try_variant_get("source_metadata", f"$.{path}", kind)
+    return suppliers(t).select(
+        "external_id", told("api", "string").alias("api"), told("reference", "string").alias("reference"), told("status", "string").alias("status"), told("quantity", "bigint").alias("quantity"),
+        told("has_delivery", "boolean").alias("delivery"), F.array_join(told("category_ids", "array<string>"), ",").alias("ids"), told("is_detail_record", "boolean").alias("detail"), told("variants", "variant").isNotNull().alias("variants"),
+    )
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS external_id, CASE WHEN s_suppkey % 5 > 0 THEN s_suppkey * 100 END AS amount, CASE WHEN s_suppkey % 5 > 0 THEN 'DZD' END AS currency,
+    CASE WHEN s_suppkey % 5 > 0 THEN CASE WHEN s_suppkey % 5 > 1 THEN s_suppkey % 5 ELSE s_suppkey * 100 END || CASE WHEN s_suppkey % 2 = 0 THEN ' MILLIONS' ELSE '' END END AS raw FROM supplier""")
+def record_prices(t):
+    return suppliers(t).select("external_id", F.col("price.amount").cast("bigint").alias("amount"), "price.currency", "price.raw")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS external_id, p_partkey % 3 < 2 AS hashed FROM part")
+def normalized_hash_gate(t):
+    """A third of the records says neither a title nor a description: those have no content hash."""
+    key = F.col("p_partkey")
+    record = F.struct(key.alias("id"), F.lit("p").alias("slug"), F.when(key % 3 == 0, F.col("p_name")).otherwise(" ").alias("title"), F.when(key % 3 == 1, F.col("p_type")).alias("description"))
+    parsed = announcements.parse_announcements(t("part").select(F.to_json(record).alias("payload")), BASE, AT, "example")
+    return normalize.normalize_listings(parsed).select("external_id", F.col("content_hash").isNotNull().alias("hashed"))
+
+
+# -- pages made of the parts
+
+
+def part_pages(t, *pieces):
+    """Pages at /p-dN that hold the given pieces."""
+    return t("part").select(F.concat(F.lit(f"{BASE}/p-d"), F.col("p_partkey").cast("string")).alias("page_url"), F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in pieces]).alias("html"))
+
+
+def parsed_parts(t, *pieces):
+    return pages.parse_pages(part_pages(t, *pieces), BASE, AT, "example")
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS external_id, p_name AS title, p_brand AS category, CASE WHEN p_size % 2 = 0 THEN p_size || ' EUR' ELSE CAST(p_size AS VARCHAR) END AS raw, p_type AS seller, 'Here' AS place,
+    'https://www.example.com/' || p_size || '.jpg,https://www.example.com/b.jpg' AS images, 'json_ld' AS ways FROM part""")
+def html_linked_data(t):
+    """A graph of linked data: of its objects the first with a listing's type counts; broken scripts are passed over."""
+    offer = F.struct(F.col("p_size").alias("price"), F.when(F.col("p_size") % 2 == 0, "EUR").alias("priceCurrency"), F.struct(F.col("p_type").alias("name")).alias("seller"), F.struct(F.lit("Here").alias("name")).alias("availableAtOrFrom"))
+    product = F.struct(F.array(F.lit("Thing"), F.lit("PRODUCT")).alias("@type"), F.col("p_name").alias("name"), F.col("p_brand").alias("category"), F.array(offer).alias("offers"), F.array(F.concat(F.lit("/"), F.col("p_size").cast("string"), F.lit(".jpg")), F.lit("/b.jpg"), F.lit("/b.jpg")).alias("image"))
+    first = F.struct(F.array(F.lit("WebSite")).alias("@type"), F.lit("site").alias("name"))
+    script = '<script type="application/ld+json">'
+    found = parsed_parts(t, f"{script}{{broken</script>{script}", F.concat(F.lit('{"@graph":['), F.to_json(first), F.lit(","), F.to_json(product), F.lit("]}")), "</script>")
+    return found.select(
+        "external_id", "title", "category", "price.raw", F.col("seller.display_name").alias("seller"), F.col("location.raw").alias("place"),
+        F.array_join(F.transform("images", lambda i: i["url"]), ",").alias("images"), F.array_join(F.try_variant_get("source_metadata", "$.strategies", "array<string>"), ",").alias("ways"),
+    )
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS external_id, 'https://www.example.com/e-d' || p_partkey AS url, p_name AS title, p_size AS amount, 'graphql' AS api FROM part")
+def html_embedded(t):
+    """Records that a page's script holds, deep in an assigned state or in a JSON script: they outdo all else."""
+    record = F.to_json(F.struct(F.lit(1).alias("other"), F.array(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.lit("e").alias("slug"), F.col("p_size").alias("price"))).alias("deep")))
+    assigned = F.col("p_partkey") % 2 == 0
+    found = parsed_parts(t, "<h1>not this</h1>", F.when(assigned, "<script>window.__STATE__ = ").otherwise('<script type="application/json">'), record, F.when(assigned, ";").otherwise(""), "</script>")
+    return found.select("external_id", "url", "title", F.col("price.amount").cast("int").alias("amount"), F.try_variant_get("source_metadata", "$.api", "string").alias("api"))
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS external_id, 'https://www.example.com/c-d' || p_partkey AS url, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_brand END AS title, p_type AS description,
+    CAST(p_size AS VARCHAR) AS raw, '2026-04-14T10:00:00+01:00' AS published_at FROM part""")
+def html_semantics(t):
+    """Headings before titles of the graph protocol, its description before the plain one, and the canonical address."""
+    key = F.col("p_partkey").cast("string")
+    heading = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("<h1> "), F.col("p_name"), F.lit(" </h1>"))).otherwise("")
+    found = parsed_parts(
+        t, '<meta property="og:title" content="', F.col("p_brand"), '"><meta name="description" content="no"><meta property="og:description" content="', F.col("p_type"), '"><link rel="canonical" href="https://www.example.com/c-d', key,
+        '">', heading, '<span itemprop="price">', F.col("p_size").cast("string"), '</span><time datetime="2026-04-14T10:00:00+01:00">today</time>',
+    )
+    return found.select("external_id", "url", "title", "description", "price.raw", "published_at")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS external_id, p_size || ' DA' AS raw, p_type AS description, p_brand AS place, p_name AS seller, 'css' AS ways FROM part")
+def html_selectors(t):
+    """Nothing but classes tells what is what."""
+    tag = lambda name, value: F.concat(F.lit(f'<div class="x {name}-y">'), value, F.lit("</div>"))
+    found = parsed_parts(t, '<p class="price">', F.col("p_size").cast("string"), " <b>DA</b></p>", tag("my-description", F.col("p_type")), tag("a-city", F.col("p_brand")), tag("b-seller-name", F.col("p_name")))
+    return found.select("external_id", "price.raw", "description", F.col("location.raw").alias("place"), F.col("seller.display_name").alias("seller"), F.array_join(F.try_variant_get("source_metadata", "$.strategies", "array<string>"), ",").alias("ways"))
+
+
+@query("""
+    SELECT CAST(p_partkey AS VARCHAR) AS external_id, CAST(unnest([0, 1, 2]) AS INTEGER) AS position, unnest(['https://www.example.com/og.png', 'https://www.example.com/' || p_size || '.png', 'https://cdn.example.com/z.png']) AS url,
+        unnest([NULL, p_name, NULL]) AS alt, CAST(unnest([NULL, p_size, NULL]) AS INTEGER) AS width FROM part
+""")
+def html_images(t):
+    """Images of the head, then of the body; data addresses and repeats are left out."""
+    size = F.col("p_size").cast("string")
+    found = parsed_parts(t, '<h1>x</h1><meta property="og:image" content="/og.png"><img src="data:image/png;base64,AA"><img data-src="/', size, '.png" alt=" ', F.col("p_name"), ' " width="', size, 'px"><img src="/og.png"><img data-lazy-src="//cdn.example.com/z.png" alt=" ">')
+    return found.select("external_id", F.inline("images")).select("external_id", "position", "url", "alt", "width")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS external_id, p_name AS title, p_brand AS description, p_size || ' DA' AS raw, 'json_ld,semantic,css' AS ways FROM part")
+def html_priorities(t):
+    """Linked data before mark-up before classes, field by field."""
+    linked = F.to_json(F.struct(F.lit("car").alias("@type"), F.col("p_name").alias("name")))
+    found = parsed_parts(t, '<script type="application/ld+json">', linked, '</script><h1>heading</h1><meta name="description" content="', F.col("p_brand"), '"><i class="old-price">', F.col("p_size").cast("string"), ' DA</i><p class="the-description">no</p>')
+    return found.select("external_id", "title", "description", "price.raw", F.array_join(F.try_variant_get("source_metadata", "$.strategies", "array<string>"), ",").alias("ways"))
+
+
+# -- recovery of the queue
+
+
+@query("""
+    SELECT 'o' || o_orderkey AS url, CASE o_orderkey % 6 WHEN 0 THEN 'DISCOVERED' WHEN 1 THEN 'FAILED' WHEN 2 THEN 'SUCCESS' WHEN 3 THEN 'PROCESSING' WHEN 4 THEN 'DISCOVERED' ELSE 'SUCCESS' END AS status,
+        CASE WHEN o_orderkey % 6 = 4 THEN 0 ELSE 1 END AS attempts, CASE WHEN o_orderkey % 6 = 1 THEN 'HTTP 500' END AS error FROM orders
+""")
+def queue_recovery(t):
+    """Orders as urls that were taken up once. By the remainder of six: interrupted and recovered; failed and recovered (stays); done and
+    recovered (stays); interrupted and requeued (stays); failed and requeued; done and requeued (stays)."""
+    rest = F.col("o_orderkey") % 6
+    middle = F.when(rest.isin(1, 4), "failed").when(rest.isin(2, 5), "saved").otherwise("noted")
+    ops = F.array(F.lit("discovered"), F.lit("processing"), middle, F.when(rest < 3, "recover").otherwise("requeue"))
+    log = t("orders").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("url"), F.col("o_orderkey").cast("string").alias("external_id"), F.posexplode(ops).alias("seq", "op"))
+    log = log.select(
+        "url", "external_id", F.col("seq").cast("long").alias("seq"), "op", F.lit(AT).alias("at"), F.when(F.col("op") == "failed", "HTTP 500").alias("error"), F.lit(None).cast("int").alias("http_status"),
+        F.lit(False).alias("counted"), F.lit(None).cast("string").alias("content_hash"),
+    )
+    return queue.queue_state(log).select("url", "status", "attempts", "error")
+
+
+@query("SELECT count(*) AS total_listings, (SELECT count(*) FILTER (event_type = 'error') FROM events) AS failed, (SELECT count(*) FILTER (event_type = 'signup') FROM events) AS pending, (SELECT count(*) FROM events) AS discovered, CAST(0 AS BIGINT) AS duplicates FROM part")
+def quality_summary(t):
+    """The report on listings beside the counts of a queue."""
+    state = t("events").select(F.expr("CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'DISCOVERED' ELSE 'SUCCESS' END").alias("status"), F.lit(None).cast("string").alias("error"))
+    rows = announcements.parse_announcements(part_payloads(t), BASE, AT, "example")
+    return report.quality_report(rows, state).select("total_listings", "failed", "pending", "discovered", "duplicates")
