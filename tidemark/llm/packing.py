@@ -156,5 +156,6 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
 
 
 def packed_digests(docs: DataFrame, path: str) -> DataFrame:
-    """The pieces of `pack` with the CRC-32 of their ids in place of the ids."""
+    """The pieces of `pack` with the CRC-32 of their ids in place of the ids; null texts, null or repeated doc_ids, empty tables and
+    further columns are as there."""
     return pack(docs, path).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group")

@@ -128,7 +128,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROW
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> DataFrame:
-    """The rows of docs, all columns, whose text's score reaches 0.7."""
+    """The rows of docs, all columns, whose text's score reaches 0.7.
+
+    Null text: scored as the empty text, and kept as null where that is good. Null or repeated doc_ids: each row is judged by its own
+    text. Very long texts are scored whole. No rows: no rows; without labels of both classes all rows stay or none. Columns may have any names."""
     model = train(docs, labels, rows_per_class)
     taken = {c.lower() for c in docs.columns}
     mark = next(m for m in ("good", *(f"good_{i}" for i in range(len(taken) + 1))) if m not in taken)
