@@ -205,16 +205,19 @@ class WordBpe:
     # -- texts
 
     def learn(self, chunks: set[bytes]) -> None:
-        """Put the ids of chunks that aren't known yet into the cache, by the pair index."""
+        """Put the ids of chunks that aren't known yet into the cache, by the pair index. A word that several chunks hold, with other
+        signs around it, is merged once."""
+        ids: dict[bytes, bytes] = {}
         for part in self._unknown(chunks):
             parted = [self.words(c) for c in part]
-            known = {w: i for i, w in enumerate(dict.fromkeys(w for words in parted for w in words if isinstance(w, bytes)))}
-            ids = self.merge(list(known)) if known else []
+            new = list({w for words in parted for w in words if type(w) is bytes}.difference(ids))
+            if new:
+                ids.update(zip(new, self.merge(new), strict=True))
             for chunk, words in zip(part, parted, strict=True):
-                if len(words) == 1 and isinstance(words[0], bytes):
-                    self.cache[chunk] = ids[known[words[0]]]
+                if len(words) == 1 and type(words[0]) is bytes:
+                    self.cache[chunk] = ids[words[0]]
                 else:
-                    self.cache[chunk] = b"".join(ids[known[w]] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in words)
+                    self.cache[chunk] = b"".join([ids[w] if type(w) is bytes else w.to_bytes(4, "little") for w in words])
 
     def _unknown(self, chunks: set[bytes]):
         if len(self.cache) > CACHE_CHUNKS:  # what these texts hold too is frequent enough to stay
