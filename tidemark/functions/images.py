@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.binding import let
 from tidemark.functions.text import clean_text, none_if_empty, strip
 from tidemark.functions.urls import normalize_image_url
 
@@ -13,8 +14,7 @@ IMAGE = "struct<url:string,position:int,alt:string,width:int,height:int,source:s
 
 def dimension(text: Column) -> Column:
     """Whole pixels above zero of texts such as `480` and `480px`."""
-    n = F.regexp_replace(strip(text), "[px]+$", "").try_cast("int")
-    return F.when(n > 0, n)
+    return let(F.regexp_replace(strip(text), "[px]+$", "").try_cast("int"), lambda n: F.when(n > 0, n))
 
 
 def is_image(mime: Column) -> Column:
@@ -37,14 +37,14 @@ def media_images(medias: Column, default: Column) -> Column:
 
 def page_images(found: Column, base: Column) -> Column:
     """Images of a page from its candidates (url, alt, width, height): first of each canonical url, in order."""
-    usable = F.filter(F.transform(found, lambda i: F.struct(normalize_image_url(i["url"], base).alias("url"), none_if_empty(strip(i["alt"])).alias("alt"), dimension(i["width"]).alias("width"), dimension(i["height"]).alias("height"))), lambda i: i["url"].isNotNull())
+    usable = F.filter(F.transform(found, lambda i: F.struct(normalize_image_url(i["url"], base).alias("url"), let(strip(i["alt"]), none_if_empty).alias("alt"), dimension(i["width"]).alias("width"), dimension(i["height"]).alias("height"))), lambda i: i["url"].isNotNull())
     return renumbered(F.transform(usable, lambda i: F.struct(i["url"].alias("url"), F.lit(0).alias("position"), i["alt"].alias("alt"), i["width"].alias("width"), i["height"].alias("height"), F.lit("listing").alias("source"))))
 
 
 def renumbered(images: Column) -> Column:
     """The first image of each url, positions counted anew."""
-    urls = F.transform(images, lambda i: i["url"])
-    kept = F.filter(images, lambda i, n: F.array_position(urls, i["url"]) == n + 1)
+    first = lambda xs, urls: F.filter(xs, lambda i, n: F.array_position(urls, i["url"]) == n + 1)
+    kept = let(images, lambda xs: let(F.transform(xs, lambda i: i["url"]), lambda urls: first(xs, urls)))
     return F.transform(kept, lambda i, n: F.struct(i["url"].alias("url"), n.cast("int").alias("position"), i["alt"].alias("alt"), i["width"].alias("width"), i["height"].alias("height"), i["source"].alias("source")))
 
 

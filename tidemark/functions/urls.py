@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.binding import let
 from tidemark.functions.text import none_if_empty, strip
 
 # The query keys that only track visitors.
@@ -59,17 +60,23 @@ def extract_external_id(url: Column) -> Column:
 def normalize_image_url(url: Column, base: Column | None = None) -> Column:
     """An absolute https URL without fragment; null for blank, data: and hostless ones. Paths from the root and of no scheme are
     joined to the base; `..` is left to the HTML reader."""
-    url = none_if_empty(strip(url))
-    if base is not None:
+
+    def joined(url: Column) -> Column:
+        if base is None:
+            return url
         site = F.concat(part(base, 1), part(base, 3))
         folder = F.regexp_extract(part(base, 5), "^(.*/)", 1)
         rooted = F.when(F.startswith(url, F.lit("/")), F.concat(site, url)).otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), url))
         relative = ~url.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:") & ~F.startswith(url, F.lit("//"))
-        url = F.when(relative, rooted).otherwise(url)
-    url = F.when(F.startswith(url, F.lit("//")), F.concat(F.lit("https:"), url)).otherwise(url)
-    usable = F.lower(part(url, 2)).isin("http", "https") & (part(url, 4) != "")
-    query = part(url, 7)
-    return F.when(usable, F.concat(F.lit("https://"), F.lower(part(url, 4)), part(url, 5), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
+        return F.when(relative, rooted).otherwise(url)
+
+    schemed = lambda url: F.when(F.startswith(url, F.lit("//")), F.concat(F.lit("https:"), url)).otherwise(url)
+    # group 6 is the query with its question mark
+    canonical = lambda url: F.when(url.rlike("^(?i:https?)://[^/?#]"), F.concat(F.lit("https://"), F.lower(part(url, 4)), part(url, 5), F.regexp_replace(part(url, 6), r"^\?\z", "")))
+    found = let(strip(url), none_if_empty)
+    for step in (joined, schemed, canonical):  # each bound once: written out, every step would hold the one before it several times
+        found = let(found, step)
+    return found
 
 
 def image_file(url: Column, position: Column) -> Column:
