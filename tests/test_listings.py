@@ -1,11 +1,12 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
 from tidemark.functions.images import page_images
 from tidemark.operators.announcements import parse_announcements
 from tidemark.operators.normalize import normalize_listings
-from tidemark.operators.pages import parse_pages
+from tidemark.operators.pages import Page, parse_pages, read_page
 
 BASE, AT = "https://shop.example.com/", "2026-01-01T00:00:00Z"
 
@@ -114,3 +115,15 @@ def test_pages_are_read_once(spark):
     bad = [{"id": "9", "title": "t", "slug": "s", "category": {"parentTree": [{"slug": "x"}]}}, {"id": None, "title": "t", "slug": "s"}]
     pages = spark.createDataFrame([("https://s.com/x-d1", f'<script type="application/json">{json.dumps(b)}</script>') for b in bad], "page_url string, html string")
     assert parse_pages(pages, BASE, AT, "shop").count() == 0
+
+
+def test_selectors_are_compiled_once_and_look_where_they_can_match(monkeypatch):
+    """Each page compiled every selector anew and held it against every element."""
+    seen, whole = [], re.fullmatch
+    monkeypatch.setattr(re, "fullmatch", lambda *a: seen.append(a) or whole(*a))
+    first = read_page(PLAIN, BASE)
+    seen.clear()
+    assert read_page(PLAIN, BASE) == first and first["price_raw"] == "1 200 DA" and not seen
+    page = Page('<div class="price" itemprop=seller><i itemprop="name">A</i></div><i itemprop=name>B</i><p class="x price">C</p><p class="old-price">D</p><time>no</time><time datetime=E>')
+    found = {s: [e.text() or e.attrs.get("datetime") for e in page.select(s)] for s in (".price", "[class*=price]", "[itemprop=seller] [itemprop=name]", "time[datetime]", "p", "h1")}
+    assert found == {".price": ["A", "C"], "[class*=price]": ["A", "C", "D"], "[itemprop=seller] [itemprop=name]": ["A"], "time[datetime]": ["E"], "p": ["C", "D"], "h1": []}
