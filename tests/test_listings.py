@@ -1,12 +1,13 @@
 import json
 import re
+from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
 from tidemark.functions.images import page_images
 from tidemark.operators.announcements import parse_announcements
 from tidemark.operators.normalize import normalize_listings
-from tidemark.operators.pages import Page, parse_pages, read_page
+from tidemark.operators.pages import Page, absolute, parse_pages, read_page
 
 BASE, AT = "https://shop.example.com/", "2026-01-01T00:00:00Z"
 
@@ -127,3 +128,22 @@ def test_selectors_are_compiled_once_and_look_where_they_can_match(monkeypatch):
     page = Page('<div class="price" itemprop=seller><i itemprop="name">A</i></div><i itemprop=name>B</i><p class="x price">C</p><p class="old-price">D</p><time>no</time><time datetime=E>')
     found = {s: [e.text() or e.attrs.get("datetime") for e in page.select(s)] for s in (".price", "[class*=price]", "[itemprop=seller] [itemprop=name]", "time[datetime]", "p", "h1")}
     assert found == {".price": ["A", "C"], "[class*=price]": ["A", "C", "D"], "[itemprop=seller] [itemprop=name]": ["A"], "time[datetime]": ["E"], "p": ["C", "D"], "h1": []}
+
+
+def test_page_addresses_are_bound_once(spark):
+    """The filter on a page's id held the steps of its address once more."""
+    rows = spark.createDataFrame([("https://s.com/x-d1", PLAIN)], "page_url string, html string")
+    found = parse_pages(rows, BASE, AT, "shop").select("external_id", "url")
+    (kept,) = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if x.strip(" +-").startswith("Filter")]
+    assert "_id#" in kept and "regexp" not in kept
+    assert found.first() == ("6", "https://shop.example.com/sofa-d6")
+
+
+def test_plain_paths_are_joined_like_the_others(monkeypatch):
+    """The library's join, which took longer than the parsing of a small page, is left to addresses with something to resolve."""
+    urls = ["/a", "/a/b-c_d.png", "/a.b/~c", "/a%20b", "/a/", "/", "//h.com/x", "/a//b", "/./a", "/a/../b", "/.a", "/a/..", "/a b", "/a;p", "/a?q", "/a?", "/a#f", "/a#", "a.png", "?q", "http://h.com/../a", "mailto:x", "/é", " /a ", "/a\t/b", "/a:b"]
+    for base in ("https://s.com", "HTTP://S.com:80/x/y?q#f", "https://u@s.com/", "file:///x/y", "s.com/x", "//s.com/x", ""):
+        assert [absolute(base, u) for u in urls] == [urljoin(base, u.strip()) for u in urls]
+    assert [absolute("https://s.com", u) for u in (None, "", "data:x", " data:x")] == [None, "", "data:x", " data:x"]
+    monkeypatch.setattr("tidemark.operators.pages.urljoin", None)
+    assert absolute("https://s.com/x", " /a/b.png") == "https://s.com/a/b.png"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.binding import bound
 from tidemark.functions.images import media_images
 from tidemark.functions.price import CURRENCY, number_text
 from tidemark.functions.text import none_if_empty
@@ -70,7 +71,7 @@ def parse_announcements(payloads: DataFrame, base_url: str, scraped_at: str, sou
     spark.sql.mapKeyDedupPolicy=LAST_WIN). Whole amounts count as whole numbers whether or not the JSON had a fraction.
     """
     rest = [F.col(c) for c in payloads.columns if c != "payload"]
-    rows = payloads.select(*rest, "payload", F.from_json("payload", ANNOUNCEMENT).alias("r"))
+    rows = bound(payloads.select(*rest, "payload"), r=F.from_json("payload", ANNOUNCEMENT))
     r = F.col("r")
     base = F.lit(base_url.rstrip("/"))
     category = r["category"]
