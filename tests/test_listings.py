@@ -5,6 +5,7 @@ from urllib.parse import urljoin
 from pyspark.sql import functions as F
 
 from tidemark.functions.images import page_images
+from tidemark.functions.variants import is_falsy
 from tidemark.operators.announcements import parse_announcements
 from tidemark.operators.normalize import normalize_listings
 from tidemark.operators.pages import Page, absolute, parse_pages, read_page
@@ -147,3 +148,9 @@ def test_plain_paths_are_joined_like_the_others(monkeypatch):
     assert [absolute("https://s.com", u) for u in (None, "", "data:x", " data:x")] == [None, "", "data:x", " data:x"]
     monkeypatch.setattr("tidemark.operators.pages.urljoin", None)
     assert absolute("https://s.com/x", " /a/b.png") == "https://s.com/a/b.png"
+
+
+def test_falsy_values(spark):
+    texts = ["0", '"0"', '"no number"', '""', "[]", "{}", "false", "true", "null", "0.0", "7", "[0]"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", is_falsy(F.parse_json("x")).alias("v"))
+    assert [x for x, r in zip(texts, rows.orderBy("i").collect(), strict=True) if r.v] == ["0", '""', "[]", "{}", "false", "null", "0.0"]

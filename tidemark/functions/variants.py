@@ -39,7 +39,8 @@ def is_blank(value: Column) -> Column:
 
 def is_falsy(value: Column) -> Column:
     """Blank, an empty object, zero or false."""
-    zero = F.coalesce(F.try_variant_get(value, "$", "double") == 0, F.lit(False)) & ~is_text(value)
+    # texts are told first: the cast of one that is no number costs an exception
+    zero = ~is_text(value) & F.coalesce(F.try_variant_get(value, "$", "double") == 0, F.lit(False))
     off = F.coalesce(kind(value) == "BOOLEAN", F.lit(False)) & ~F.coalesce(F.try_variant_get(value, "$", "boolean"), F.lit(False))
     return is_blank(value) | F.coalesce(kind(value) == "OBJECT<>", F.lit(False)) | zero | off
 
