@@ -150,6 +150,15 @@ def test_plain_paths_are_joined_like_the_others(monkeypatch):
     assert absolute("https://s.com/x", " /a/b.png") == "https://s.com/a/b.png"
 
 
+def test_selectors_without_candidates_are_not_tried(monkeypatch):
+    """A page that nothing but classes describes had some twenty selectors tried on no element at all."""
+    tried, select = [], Page.select
+    monkeypatch.setattr(Page, "select", lambda self, s: tried.append(s) or select(self, s))
+    found = read_page('<p class="price">12 <b>DA</b></p><div class="x my-description-y">soft</div>', BASE)
+    assert (found["price_raw"], found["description"], found["strategies"]) == ("12 DA", "soft", ["css"])
+    assert tried == [".price", "[class*=description]", "[class*=location]", "[class*=city]", "[class*=seller-name]", "[class*=store-name]"]
+
+
 def test_falsy_values(spark):
     texts = ["0", '"0"', '"no number"', '""', "[]", "{}", "false", "true", "null", "0.0", "7", "[0]"]
     rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", is_falsy(F.parse_json("x")).alias("v"))
